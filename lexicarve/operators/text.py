@@ -57,7 +57,10 @@ def ngram_counts(df: DataFrame, key: str = "doc_id", tokens_col: str = "tokens",
 
 def explode_tokens(df: DataFrame, key: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """(key, pos, token), pos 0-based."""
-    return df.select(key, F.posexplode(tokens_col).alias("pos", "token"))
+    # *_outer + filter: keeps Catalyst from copying the token expression
+    # into an inferred ``size(tokens) > 0`` filter below the projection.
+    return (df.select(key, F.posexplode_outer(tokens_col).alias("pos", "token"))
+              .where(F.col("pos").isNotNull()))
 
 
 def collect_tokens(long: DataFrame, key: str = "doc_id", out: str = "tokens") -> DataFrame:

@@ -36,10 +36,15 @@ def term_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """(key, term, tf) over word n-grams of the tokenised text."""
     d = docs.select(key, text)
     if prepartition:
-        d = d.repartition(key)
+        # explicit count: AQE must not fold this CPU-heavy stage into a few tasks
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        d = d.repartition(n, key)
     toks = d.select(key, tokenizer(F.col(text)).alias("_tok"))
     grams = ngram_arrays(toks, "_tok", n_min, n_max, out="_grams")
-    return (grams.select(key, F.explode("_grams").alias("term"))
+    # explode_outer: a plain explode lets Catalyst infer ``size(grams) > 0``
+    # and push it under the projection, re-running the tokenizer per n.
+    return (grams.select(key, F.explode_outer("_grams").alias("term"))
+                 .where(F.col("term").isNotNull())
                  .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

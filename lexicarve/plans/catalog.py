@@ -449,3 +449,113 @@ def m9_m10_score_metrics(spark, sf):
     acc = mt.thresholded_accuracy(p, by=["model"])
     loss = mt.focal_loss(p, by=["model"]).select("model", F.round("focal_loss", 9).alias("focal_loss"))
     return acc.join(loss, "model")
+
+
+# --- 2.10 search log over data: threshold rule searched like the forest ------------------
+from ..operators import encode as en  # noqa: E402
+from ..operators import search as se  # noqa: E402
+
+N_ITER = 15
+PATIENCE = 5
+SEARCH_SPACE = dict(se.FOREST_SPACE, min_chars=se.Grid(100, 5000, 1000))
+
+
+def _sql_grid_value(g: se.Grid, idx: str) -> str:
+    step = (g.stop - g.start) / (g.num - 1) if g.num > 1 else 0.0
+    v = f"(CASE WHEN {idx} = {g.num - 1} THEN {float(g.stop)!r}::DOUBLE ELSE {idx}::DOUBLE * {step!r}::DOUBLE + {float(g.start)!r}::DOUBLE END)"
+    if g.integer:
+        v = f"trunc({v})::BIGINT"
+    return f"(CASE WHEN {idx} < {g.num} THEN {v} END)"
+
+
+def _sql_draw(name: str, p, seed: int = SEED) -> str:
+    idx = f"(('0x' || substr(md5('{seed}-' || iter::VARCHAR || '-{name}'), 1, 8))::BIGINT % {p.size})"
+    if isinstance(p, se.Grid):
+        return f"{_sql_grid_value(p, idx)} AS {name}"
+    whens = " ".join(f"WHEN {i} THEN {q.lit(o) if isinstance(o, str) else str(o).lower()}" for i, o in enumerate(p.options))
+    return f"(CASE {idx} {whens} END) AS {name}"
+
+
+def search_log(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 + R2 + R5 loop + W3 + W4 + L6 with a length-threshold model scored on the L3 test part."""
+    trials = se.draw_trials(spark, N_ITER, SEARCH_SPACE, SEED)
+    test = sm.random_split(corpus(spark, sf), TEST_FRACTION, SEED).where(F.col("slice") == "test")
+    counts = se.threshold_sweep(test, "n_chars", "bin_class", trials, t_col="min_chars")
+    scored = mt.metrics_from_counts(counts).withColumnRenamed("accuracy", "acc")
+    log = se.annotate_log(scored, "f1", "iter", PATIENCE)
+    return log.select("iter", *SEARCH_SPACE, "tp", "fp", "fn", "tn",
+                      F.round("f1", 9).alias("f1"), F.round("acc", 9).alias("acc"), "flag", "ran", "best")
+
+
+_DRAWS = ", ".join(_sql_draw(n, p) for n, p in SEARCH_SPACE.items())
+register("r2_w3_w4_l6_search_log", f"""
+WITH d AS (SELECT range AS iter, * EXCLUDE (range) FROM (SELECT range, {_DRAWS.replace('iter::VARCHAR', 'range::VARCHAR')} FROM range({N_ITER}))),
+test AS (SELECT n_chars, bin_class AS label FROM {CORPUS_SQL} c
+         WHERE substr(md5(doc_id::VARCHAR || '-{SEED}'), 1, 8) < '{int(TEST_FRACTION * (1 << 32)):08x}'),
+c AS (SELECT d.*,
+        sum(CASE WHEN label = 1 AND n_chars > min_chars THEN 1 ELSE 0 END)::BIGINT AS tp,
+        sum(CASE WHEN label <> 1 AND n_chars > min_chars THEN 1 ELSE 0 END)::BIGINT AS fp,
+        sum(CASE WHEN label = 1 AND NOT (n_chars > min_chars) THEN 1 ELSE 0 END)::BIGINT AS fn,
+        sum(CASE WHEN label <> 1 AND NOT (n_chars > min_chars) THEN 1 ELSE 0 END)::BIGINT AS tn
+      FROM d, test GROUP BY ALL),
+m AS (SELECT *, coalesce(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 0) AS f1_raw,
+             coalesce((tp + tn)::DOUBLE / nullif(tp + tn + fp + fn, 0), 0) AS acc_raw FROM c),
+fl AS (SELECT *, coalesce((lag(f1_raw, 2) OVER (ORDER BY iter) >= lag(f1_raw, 1) OVER (ORDER BY iter))::INTEGER, 0) AS flag FROM m),
+r AS (SELECT *, sum(flag) OVER (ORDER BY iter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) < {PATIENCE} AS ran FROM fl)
+SELECT iter, {', '.join(SEARCH_SPACE)}, tp, fp, fn, tn, round(f1_raw, 9) AS f1, round(acc_raw, 9) AS acc, flag, ran,
+       ran AND row_number() OVER (PARTITION BY ran ORDER BY f1_raw DESC, iter) = 1 AS best
+FROM r
+""")(search_log)
+
+
+# --- 2.9 encoding -------------------------------------------------------------------------
+def _words(spark: SparkSession, sf: str) -> DataFrame:
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", tx.word_tokens(tx.preprocess("text")).alias("tokens"))
+
+
+def _encoded(spark: SparkSession, sf: str) -> DataFrame:
+    w = _words(spark, sf)
+    return en.encode_words(w, en.word_vocabulary(w))
+
+
+WORDS_SQL = f"(SELECT doc_id, {q.word_tokens(q.preprocess('text'))} AS tok FROM documents)"
+VOCAB_SQL = f"(SELECT token, (row_number() OVER (ORDER BY token) - 1 + 4)::INTEGER AS id FROM (SELECT DISTINCT unnest(tok) AS token FROM {WORDS_SQL} w))"
+ENCODED_SQL = f"""(SELECT w.doc_id, list_concat([2], coalesce(e.ids, []::INTEGER[]), [3]) AS ids FROM {WORDS_SQL} w LEFT JOIN (
+    SELECT doc_id, list(id ORDER BY pos) AS ids FROM (
+      SELECT x.doc_id, x.pos, coalesce(v.id, 1) AS id FROM (
+        SELECT doc_id, unnest(range(len(tok))) AS pos, unnest(tok) AS token FROM {WORDS_SQL} w2) x
+      LEFT JOIN {VOCAB_SQL} v USING (token)) GROUP BY doc_id) e USING (doc_id))"""
+
+
+@register("e3_e7_fixed_length_examples", f"""
+SELECT doc_id, array_to_string(p, ' ') AS input_ids, array_to_string(list_transform(p, lambda x: 0), ' ') AS token_type_ids,
+       array_to_string(list_transform(p, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END), ' ') AS attention_mask, label
+FROM (SELECT e.doc_id, l.toxic::INTEGER AS label,
+        list_concat(CASE WHEN len(e.ids) > 512 THEN list_concat(e.ids[1:511], [e.ids[-1]]) ELSE e.ids END,
+                    list_transform(range(greatest(512 - len(e.ids), 0)), lambda i: 0)) AS p
+      FROM {ENCODED_SQL} e JOIN labels l USING (doc_id))
+""")
+def e3_e7_fixed_length_examples(spark, sf):
+    """E1 whole-word ids -> E3 cut/pad to 512 -> E4 mask -> E5 segments -> E6 struct, labelled rows."""
+    enc = _encoded(spark, sf).join(read_table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    ex = en.examples(en.fixed_length(enc, "input_ids", 512), "padded", "label")
+    f = ex.select("doc_id", "label", "features.*")
+    return f.select("doc_id", *[tx.join_tokens(F.transform(c, lambda x: x.cast("string"))).alias(c)
+                                for c in ("input_ids", "token_type_ids", "attention_mask")], "label")
+
+
+@register("e1_e2_e4_pad_to_longest", f"""
+SELECT doc_id, len(p)::BIGINT AS padded_len, list_sum(list_transform(p, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END))::BIGINT AS n_real,
+       list_sum(p)::BIGINT AS id_sum, array_to_string(ids, ' ') AS input_ids
+FROM (SELECT doc_id, ids, list_concat(ids, list_transform(range((SELECT max(len(ids)) FROM {ENCODED_SQL} m) - len(ids)), lambda i: 0)) AS p
+      FROM {ENCODED_SQL} e)
+""")
+def e1_e2_e4_pad_to_longest(spark, sf):
+    """E1 whole-word ids, E2 pad to the corpus maximum (A5), E4 mask; full id list kept as text."""
+    p = en.pad_to_longest(_encoded(spark, sf), "input_ids", "padded")
+    mask = ar.attention_mask("padded")
+    return p.select("doc_id", F.size("padded").cast("long").alias("padded_len"),
+                    F.aggregate(mask, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_real"),
+                    F.aggregate("padded", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
+                    tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
