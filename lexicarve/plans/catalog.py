@@ -559,3 +559,138 @@ def e1_e2_e4_pad_to_longest(spark, sf):
                     F.aggregate(mask, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_real"),
                     F.aggregate("padded", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
                     tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
+
+
+# --- 2.1 sources and sinks: round trips through the shared folder -----------------------
+from ..session import scratch_path  # noqa: E402
+from ..sources import corpus as src  # noqa: E402
+
+
+@register("s1_csv_roundtrip", """
+SELECT doc_id, text, toxic::DOUBLE AS toxic, quality::DOUBLE AS quality FROM documents JOIN labels USING (doc_id)
+""")
+def s1_csv_roundtrip(spark, sf):
+    """Labelled text written as CSV (quotes, commas, newlines kept) and scanned back with a schema."""
+    c = labelled_corpus(spark, sf).select("doc_id", "text", "toxic", "quality")
+    path = scratch_path(spark, "labelled-csv")
+    src.write_csv(c, path)
+    return src.read_labelled_csv(spark, path, src.labelled_schema(["toxic", "quality"], key="doc_id"))
+
+
+@register("s3_s4_j1_feature_text_roundtrip", """
+SELECT e.vec_id AS vec_id, p.pos AS pos, e.embedding[p.pos + 1]::DOUBLE AS value,
+       CASE WHEN e.label >= 5 THEN 1 ELSE 0 END AS label
+FROM embeddings e, LATERAL (SELECT unnest(range(len(e.embedding))) AS pos) p
+""")
+def s3_s4_j1_feature_text_roundtrip(spark, sf):
+    """S3 matrix to text (key first), S4 parse back, J1 keyed join to the labels."""
+    e = read_table(spark, sf, "embeddings")
+    path = scratch_path(spark, "features-txt")
+    src.write_features_text(e, path, key="vec_id", vec="embedding")
+    back = src.read_features_text(spark, path, key="vec_id", vec="features")
+    labels = e.select("vec_id", F.when(F.col("label") >= 5, 1).otherwise(0).alias("label"))
+    j = back.join(labels, "vec_id")
+    return j.select("vec_id", F.posexplode("features").alias("pos", "value"), "label").select(
+        "vec_id", F.col("pos").cast("long").alias("pos"), "value", "label")
+
+
+@register("s8_confusion_sink", ORACLE["m6_confusion_matrix"])
+def s8_confusion_sink(spark, sf):
+    """The confusion table written to parquet in the shared folder and read back."""
+    path = scratch_path(spark, "confusion")
+    src.write_parquet(mt.confusion_matrix(rule_predictions(spark, sf), by=["model"]), path)
+    return spark.read.parquet(path)
+
+
+@register("t11_sparse_vectors", f"""
+SELECT doc_id, count(*)::INTEGER AS nnz, (SELECT count(*) FROM {DF_SQL} d)::INTEGER AS size,
+       round(sum(tfidf * tfidf), 6) AS sq_norm
+FROM {TFIDF_SQL} w GROUP BY doc_id
+""")
+def t11_sparse_vectors(spark, sf):
+    """Documents as ML sparse vectors over the sorted vocabulary (checked by size, nnz, norm)."""
+    from pyspark.ml.functions import vector_to_array  # noqa: F401
+    d = read_table(spark, sf, "documents")
+    w = tf.tfidf(d)
+    vocab = tf.vocabulary(w)
+    v = tf.sparse_vectors(w, vocab)
+
+    @F.udf("struct<nnz:int,size:int,sq:double>")
+    def shape(vec):
+        return (int(vec.numNonzeros()), int(vec.size), float(vec.dot(vec)))
+
+    s = v.select("doc_id", shape("features").alias("s"))
+    return s.select("doc_id", F.col("s.nnz").alias("nnz"), F.col("s.size").alias("size"),
+                    F.round("s.sq", 6).alias("sq_norm"))
+
+
+# --- 2.10 models (rows-only: tree and neural fits have no SQL twin) ---------------------------
+from ..operators import models as md  # noqa: E402
+from ..sources.models import load_model, save_model  # noqa: E402
+
+
+def embedding_features(spark: SparkSession, sf: str) -> DataFrame:
+    e = read_table(spark, sf, "embeddings")
+    f = md.feature_frame(e, "vec_id", "embedding", F.when(F.col("label") >= 5, 1).otherwise(0))
+    return sm.random_split(f, TEST_FRACTION, SEED, key="vec_id")
+
+
+def _split(spark, sf):
+    f = embedding_features(spark, sf)
+    return f.where("slice = 'train'").drop("slice"), f.where("slice = 'test'").drop("slice")
+
+
+@register("r3_r4_forest_predictions")
+def r3_r4_forest_predictions(spark, sf):
+    train, test = _split(spark, sf)
+    return md.predict(md.fit(md.forest({"n_estimators": 20, "max_depth": 5}), train), test, "vec_id")
+
+
+@register("r8_boosted_predictions")
+def r8_boosted_predictions(spark, sf):
+    train, test = _split(spark, sf)
+    return md.predict(md.fit(md.boosted({"max_depth": 3}, md.Caps(max_iter=10)), train), test, "vec_id")
+
+
+@register("r9_neural_head_predictions")
+def r9_neural_head_predictions(spark, sf):
+    train, test = _split(spark, sf)
+    width = read_table(spark, sf, "embeddings").select(F.max(F.size("embedding"))).first()[0]
+    return md.predict(md.fit(md.neural_head(int(width), max_iter=30), train), test, "vec_id")
+
+
+@register("r5_r7_holdout_search")
+def r5_r7_holdout_search(spark, sf):
+    train, test = _split(spark, sf)
+    _, log = md.holdout_search(spark, train, test, "vec_id", n_iter=5, caps=md.Caps(max_trees=10, max_depth=5))
+    return log
+
+
+@register("r6_m8_cv_search")
+def r6_m8_cv_search(spark, sf):
+    train, _ = _split(spark, sf)
+    folds = sm.stratified_folds(train, "label", FOLDS, key="vec_id")
+    _, summary = md.cv_search(spark, folds, n_iter=3, caps=md.Caps(max_trees=5, max_depth=4))
+    return summary
+
+
+@register("s6_s7_j2_model_roundtrip")
+def s6_s7_j2_model_roundtrip(spark, sf):
+    """S6 save, S7 load, J2 keyed join of both predictions: every row must agree."""
+    train, test = _split(spark, sf)
+    model = md.fit(md.forest({"n_estimators": 10, "max_depth": 4}), train)
+    path = save_model(model, scratch_path(spark, "forest-model"))
+    a = md.predict(model, test, "vec_id")
+    b = md.predict(load_model(path), test, "vec_id").select("vec_id", F.col("prediction").alias("reloaded"))
+    return a.join(b, "vec_id").withColumn("same", F.col("prediction") == F.col("reloaded"))
+
+
+@register("m7_model_transfer")
+def m7_model_transfer(spark, sf):
+    """M7 with fitted models: forest and boosted trees scored on the whole test part and its head."""
+    train, test = _split(spark, sf)
+    preds = sm.stack(
+        md.predict(md.fit(md.forest({"n_estimators": 10, "max_depth": 4}), train), test, "vec_id").withColumn("model", F.lit("forest")),
+        md.predict(md.fit(md.boosted({"max_depth": 3}, md.Caps(max_iter=5)), train), test, "vec_id").withColumn("model", F.lit("boosted")))
+    head = sm.head(test.select("vec_id"), HEAD_N, key="vec_id")
+    return mt.transfer_evaluation(preds, {"head": head}, key="vec_id")
