@@ -332,7 +332,8 @@ def a9_doc_norms(spark, sf):
 # --- flagship: balanced sample -> clean -> words -> unigram tf-idf -> top terms per class
 def top_terms(spark: SparkSession, sf: str) -> DataFrame:
     s = sm.balanced_sample(corpus(spark, sf), "bin_class", BALANCED_N)
-    docs = s.select("doc_id", "bin_class", "text")
+    # the sample has at most BALANCED_N rows per class and is read four times below
+    docs = s.select("doc_id", "bin_class", "text").persist()
     w = tf.tfidf(docs.select("doc_id", "text"), tokenizer=lambda c: tx.word_tokens(tx.preprocess(c)),
                  n_min=1, n_max=1)
     per_class = (w.join(docs.select("doc_id", "bin_class"), "doc_id")

@@ -18,8 +18,26 @@ VOTE_COLUMNS = ("toxic", "quality")
 CLASS_VOTES = ("toxic",)
 
 
+# Text tables and their keys: per-row text work is CPU-bound, so these are
+# spread over the cluster when the scan itself yields too few partitions.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id",
+                   "benchmark": "item_id"}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition by ``key`` only when the input has fewer partitions than the
+    default parallelism (e.g. a single large row group). A wide scan - the
+    normal case on a cluster - is left as it is, with no extra shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
