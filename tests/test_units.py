@@ -206,3 +206,30 @@ def test_batch_scoring_in_pandas(spark):
 
     out = en.score_in_batches(df, load, "id long, x double, y double", batch_rows=3)
     assert sorted(r["y"] for r in out.collect()) == [2.0 * i for i in range(10)]
+
+
+def test_streaming_clean_text(spark, tmp_path):
+    from lexicarve.streaming import clean_text_stream, write_parquet_stream
+    src = str(tmp_path / "in")
+    spark.createDataFrame([(1, "Olá, MUNDO!")], "doc_id long, text string").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = write_parquet_stream(clean_text_stream(spark, src, schema), str(tmp_path / "out"),
+                             str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    row = spark.read.parquet(str(tmp_path / "out")).first()
+    assert row["clean"] == "ola mundo" and row["tokens"] == ["ola", "mundo"]
+
+
+def test_flows_run_small(spark):
+    from lexicarve.operators import models as md
+    from lexicarve.plans import flows
+    from lexicarve.sources.corpus import labelled_corpus
+    c = labelled_corpus(spark, "/root/testdata/sf0.001")
+    out = flows.neural_examples(c, ["toxic", "quality"], n=10, max_len=32, batch=4)
+    tr = out["train"].collect()
+    assert tr and all(len(r["features"]["input_ids"]) == 32 for r in tr)
+    assert max(r["batch"] for r in tr) == (len(tr) - 1) // 4
+    res = flows.tfidf_classification(spark, c, ["toxic"], n_min=1, n_max=2, min_df=2, n_iter=2,
+                                     caps=md.Caps(max_trees=3, max_depth=3, max_iter=3), with_boosted=False)
+    cm = res["confusion"].collect()
+    assert sum(r["n"] for r in cm) == res["predictions"].count()
