@@ -233,3 +233,9 @@ def test_flows_run_small(spark):
                                      caps=md.Caps(max_trees=3, max_depth=3, max_iter=3), with_boosted=False)
     cm = res["confusion"].collect()
     assert sum(r["n"] for r in cm) == res["predictions"].count()
+
+
+def test_decode_and_format(spark):
+    df = spark.createDataFrame([(bytearray("não".encode("utf-8")), 0.8156)], "b binary, x double")
+    r = df.select(tx.decode_utf8("b").alias("s"), tx.format3("x").alias("f")).first()
+    assert r["s"] == "não" and r["f"] == "0.816"
