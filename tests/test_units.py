@@ -239,3 +239,15 @@ def test_decode_and_format(spark):
     df = spark.createDataFrame([(bytearray("não".encode("utf-8")), 0.8156)], "b binary, x double")
     r = df.select(tx.decode_utf8("b").alias("s"), tx.format3("x").alias("f")).first()
     assert r["s"] == "não" and r["f"] == "0.816"
+
+
+def test_csv_quoted_newlines_and_key(spark, tmp_path):
+    from lexicarve.sources import corpus as src
+    p = tmp_path / "told.csv"
+    p.write_text('text,v1,v2\n"linha um, com vírgula\nsegunda linha",1,0\n"diz ""oi""",0,\n', encoding="utf-8")
+    df = src.read_labelled_csv(spark, str(p), src.labelled_schema(["v1", "v2"]))
+    rows = df.orderBy("doc_id").collect()
+    assert [r["text"] for r in rows] == ["linha um, com vírgula\nsegunda linha", 'diz "oi"']
+    assert rows[0]["doc_id"] < rows[1]["doc_id"]  # key follows file order
+    lab = df.select(lb.any_vote(["v1", "v2"]).alias("y")).orderBy(F.monotonically_increasing_id())
+    assert [r["y"] for r in lab.collect()] == [1, 0]
