@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid_viterbi, simhash_mih
+from . import fm_decontam, langid_viterbi, simhash_mih
 from .common import id_mod, read_table
 
 
@@ -22,9 +22,38 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_mih.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fm_decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      fm_decontam.is_contaminated().alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
+    "op9_fm_decontam": op9_fm_decontam,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op9_fm_decontam": f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS p
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS p
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+             FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, s, iw.n AS n FROM dw JOIN iw USING (n, p)),
+hw AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+       FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hit) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
+}
