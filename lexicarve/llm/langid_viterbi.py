@@ -317,6 +317,21 @@ def label_languages(docs: DataFrame, model: Model, text: str = "text", key: str
     return d.mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
+def keep_identified(docs: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
+    """Rows, with all their columns, whose language is not ``und`` and scores at least ``min_score``. No shuffle."""
+    at, names = docs.columns.index(text), docs.columns
+
+    def run(batches):
+        for b in batches:
+            texts, keep = b.column(at).to_pylist(), []
+            for r in by_size([len(t or "") for t in texts], 2 * CHUNK_CHARS):
+                pred, score, _, _ = identify(model, [texts[i] for i in r])
+                keep += [p != UND and s >= min_score for p, s in zip(pred, score)]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema).select(*names)
+
+
 def learnable(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows that the query may learn from; the others are held out."""
     return docs.where(id_mod(key, 3) != 1)

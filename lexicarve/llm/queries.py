@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_decontam, langid_viterbi, simhash_mih
+from . import fm_decontam, langid_viterbi, pareto_mix, ring_sharding, simhash_mih
 from .common import id_mod, read_table
 
 
@@ -22,6 +22,14 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_mih.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_sharding.assign(read_table(spark, sf_dir, "documents"))
+
+
+def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto_mix.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op9_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fm_decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -32,6 +40,8 @@ def op9_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
+    "op7_ring_sharding": op7_ring_sharding,
+    "op8_pareto_mix": op8_pareto_mix,
     "op9_fm_decontam": op9_fm_decontam,
 }
 
@@ -39,6 +49,32 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE: dict[str, str] = {
+    "op8_pareto_mix": r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+c AS (SELECT *, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src, length(bin(size + 1)) - 1 AS cls,
+             (('0x' || substr(md5(doc_id || '-17'), 1, 13))::BIGINT + 0.5) / 4503599627370496::DOUBLE AS u FROM d),
+s AS (SELECT src, sum(size)::DOUBLE AS source_size FROM c GROUP BY src HAVING sum(size) > 0),
+w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY src) - 1) % 3 + 1]::DOUBLE AS w, 2 * source_size AS most,
+             sum(source_size) OVER () AS total FROM s),
+l AS (SELECT *, (1.5 * total - coalesce(sum(most) OVER (ORDER BY most / w, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(w) OVER (ORDER BY most / w, w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM w),
+t AS (SELECT src, source_size, CASE WHEN most <= w * lv THEN most
+             ELSE w * max(CASE WHEN most > w * lv THEN lv END) OVER () END AS target FROM l),
+k AS (SELECT c.src, cls, target, sum(size)::DOUBLE AS words FROM c JOIN t USING (src) WHERE size > 0 GROUP BY c.src, cls, target),
+kw AS (SELECT *, words / (16.0 + cls) AS w, 2 * words AS most FROM k),
+kl AS (SELECT *, (target - coalesce(sum(most) OVER (PARTITION BY src ORDER BY most / w, w
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(w) OVER (PARTITION BY src ORDER BY most / w, w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM kw),
+e AS (SELECT src, cls, words, least(CASE WHEN most <= w * lv THEN most
+             ELSE w * max(CASE WHEN most > w * lv THEN lv END) OVER (PARTITION BY src) END / words, 2.0) AS copies FROM kl),
+rest AS (SELECT src, sum((copies - floor(copies)) * words) AS rest FROM e GROUP BY src),
+p AS (SELECT c.*, copies, copies - floor(copies) AS p FROM c JOIN e USING (src, cls) WHERE size > 0),
+r AS (SELECT doc_id, src, sum(size) OVER (PARTITION BY src ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id
+             ROWS UNBOUNDED PRECEDING) - size / 2.0 <= rest AS more FROM p JOIN rest USING (src) WHERE p > 0),
+n AS (SELECT p.doc_id, floor(copies)::INT + CASE WHEN coalesce(more, false) THEN 1 ELSE 0 END AS n FROM p LEFT JOIN r USING (doc_id))
+SELECT c.doc_id, c.size, coalesce(source_size, 0)::BIGINT AS source_size, coalesce(target, 0.0)::DOUBLE AS target,
+       (c.size * coalesce(n, 1))::BIGINT AS taken, coalesce(n, 1)::INT AS n_copies
+FROM c LEFT JOIN t USING (src) LEFT JOIN n USING (doc_id)""",
     "op9_fm_decontam": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
