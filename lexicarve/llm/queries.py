@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, simhash_mih
+from . import chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih
 from .common import id_mod, read_table
 
 
@@ -22,6 +22,13 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_mih.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_battery.secrets(read_table(spark, sf_dir, "documents"))
+    count = {k: F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secret_battery.KINDS[:3])}
+    return found.select("doc_id", *count.values(), F.sha2(secret_battery.spelled(F.col("base")), 256).alias("base_sha256"),
+                        secret_battery.spelled(F.col("spans")).alias("spans"))
+
+
 def op7_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_sharding.assign(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +54,7 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
+    "op6_secret_battery": op6_secret_battery,
     "op7_ring_sharding": op7_ring_sharding,
     "op8_pareto_mix": op8_pareto_mix,
     "op9_fm_decontam": op9_fm_decontam,
