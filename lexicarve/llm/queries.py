@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih
+from . import chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
 from .common import id_mod, read_table
 
 
+def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity_cnn.train(docs, toxicity_cnn.learnable(read_table(spark, sf_dir, "labels")))
+    out = toxicity_cnn.score(docs, model)
+    return out.select("doc_id", (id_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op4_langid_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid_viterbi.train(langid_viterbi.learnable(docs))
@@ -52,6 +60,7 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity_cnn": op1_toxicity_cnn,
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_secret_battery": op6_secret_battery,
