@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
+from . import ann_postings, chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
 from .common import id_mod, read_table
 
 
@@ -19,6 +19,10 @@ def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op2_ann_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_postings.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op4_langid_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid_viterbi.train(langid_viterbi.learnable(docs))
@@ -61,6 +65,7 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
+    "op2_ann_postings": op2_ann_postings,
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_secret_battery": op6_secret_battery,
