@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_postings, chat_template, fm_decontam, langid_viterbi, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
+from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
 from .common import id_mod, read_table
 
 
@@ -23,6 +23,11 @@ def op2_ann_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_postings.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op3_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_minhash.dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_kept", F.array_join("kept", ",").alias("kept_lines"))
+
+
 def op4_langid_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid_viterbi.train(langid_viterbi.learnable(docs))
@@ -66,6 +71,7 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
     "op2_ann_postings": op2_ann_postings,
+    "op3_line_minhash": op3_line_minhash,
     "op4_langid_viterbi": op4_langid_viterbi,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_secret_battery": op6_secret_battery,
