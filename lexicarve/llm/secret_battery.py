@@ -160,7 +160,7 @@ def cuts(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
     run, whole = Window.partitionBy("stratum").orderBy("bin"), Window.partitionBy("stratum")
     # decoys stand for all candidates of the stratum, also those without text around them
     scale = F.sum("c").over(whole) / F.greatest(F.sum("d").over(whole), F.lit(1))
-    rate = (1 + scale * F.sum("d").over(run)) / F.sum("c").over(run)
+    rate = (1 + scale * F.sum("d").over(run)) / F.greatest(F.sum("c").over(run), F.lit(1))
     return bins.withColumn("rate", rate).where(F.col("rate") <= fdr).groupBy("stratum").agg(F.max("bin").alias("cut"))
 
 

@@ -184,3 +184,10 @@ def test_secrets(spark):
     assert np.mean([found(i) for i in range(0, 300, 3)]) > 0.9
     assert not any(found(i) for i in range(300) if i % 3)
     assert sb.secrets(df.where("doc_id < 0")).count() == 0
+
+
+def test_cuts_of_a_stratum_without_candidates(spark):
+    schema = "k long, found array<struct<start:int,end:int,stratum:string,bin:int>>, decoys array<struct<stratum:string,bin:int>>"
+    rows = [(1, [(0, 20, "a", 3)] * 50, [("a", 0)] + [("a", 30)] * 49), (2, [], [("b", 0)])]
+    got = {r["stratum"]: r["cut"] for r in sb.cuts(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"a": 29} or got == {"a": 3}
