@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by cosine with balanced posting lists.
 
-The index: balanced k-means centroids, fitted on a bounded sample of at
-most ``SAMPLE`` vectors; a k-nearest-neighbour graph over the centroids,
+The index: centroids of balanced hierarchical clustering, fitted on a bounded
+sample of about ``SAMPLE`` vectors at most; a k-nearest-neighbour graph over the centroids,
 held in memory and searched by beam; posting lists that hold every vector.
 A vector near a boundary is replicated to all of its ``REPLICAS`` nearest
 lists whose distance is within ``1 + BUILD_RATIO`` of the nearest. A query
@@ -24,6 +24,8 @@ counts once. Fewer candidates than k give fewer rows; none give none.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -54,26 +56,57 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
+def _halves(x: np.ndarray, rng) -> np.ndarray:
+    """Mask of one half of the rows, cut at the median between two means."""
+    two = x[rng.choice(len(x), 2, replace=False)]
+    for _ in range(4):
+        side = x @ (two[0] - two[1])
+        one = side >= np.median(side)
+        if one.all() or not one.any():
+            break
+        two = np.stack([x[one].mean(axis=0), x[~one].mean(axis=0)])
+    order = np.argsort(x @ (two[0] - two[1]), kind="stable")
+    mask = np.zeros(len(x), bool)
+    mask[order[len(x) // 2:]] = True
+    return mask
+
+
 def balanced_centroids(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 3) -> np.ndarray:
-    """k-means of unit vectors with a penalty on lists that are longer than the mean."""
+    """Centroids of k lists of about equal length.
+
+    Hierarchical: the longest list is halved until there are k. Rounds of
+    k-means then let the lists settle; whenever one has grown to more than
+    twice the mean, the shortest list is given up for its other half.
+    """
     rng = np.random.default_rng(seed)
-    c = x[rng.choice(len(x), k, replace=False)].copy()
-    load, mean = np.zeros(k), len(x) / k
-    for _ in range(rounds):
+    parts, mean = [np.arange(len(x))], len(x) / k
+    heap = [(-len(x), 0)]
+    while len(parts) < k:
+        _, i = heapq.heappop(heap)
+        own = parts[i]
+        one = _halves(x[own], rng)
+        parts[i] = own[one]
+        parts.append(own[~one])
+        for j in (i, len(parts) - 1):
+            heapq.heappush(heap, (-len(parts[j]), j))
+    c = np.stack([x[p].mean(axis=0) for p in parts])
+    for turn in range(rounds):
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         pick = np.empty(len(x), np.int64)
         for at in range(0, len(x), 2048):
-            pick[at:at + 2048] = (x[at:at + 2048] @ c.T - load).argmax(axis=1)
+            pick[at:at + 2048] = (x[at:at + 2048] @ c.T).argmax(axis=1)
         n = np.bincount(pick, minlength=k)
-        load = np.maximum(0, load + 0.02 * (n / mean - 1))
         order = np.argsort(pick, kind="stable")
+        start = np.cumsum(n) - n
         full = np.flatnonzero(n)
-        c[full] = np.add.reduceat(x[order], (np.cumsum(n) - n)[full], axis=0)
-        empty = np.flatnonzero(n == 0)  # restarted inside the longest lists
-        for e, big in zip(empty, np.argsort(-n)):
-            own = order[n[:big].sum():][:n[big]]
-            c[e] = x[own[len(own) // 2]]
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c
+        c[full] = np.add.reduceat(x[order], start[full], axis=0) / n[full, None]
+        long = [i for i in np.argsort(-n, kind="stable").tolist() if n[i] > 2 * mean]
+        short = [i for i in np.argsort(n, kind="stable").tolist() if n[i] < mean / 2]
+        for i, j in zip(long, short):
+            own = order[start[i]:start[i] + n[i]]
+            one = _halves(x[own], rng)
+            c[i], c[j] = x[own[one]].mean(axis=0), x[own[~one]].mean(axis=0)
+    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
 class Graph:
