@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import in_arrow, shared
 
 LIST_SIZE = 128  # vectors per list aimed at
 SAMPLE = 20_000
@@ -238,7 +238,7 @@ def _postings(rows: DataFrame, graph, dim: int, width: int, ratio: float) -> Dat
                 yield pa.RecordBatch.from_arrays([*b.take(pa.array(pick[s:s + 8192])).columns, pa.array(own[s:s + 8192])], names=[*names, "list"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{kinds}, list long")
+    return in_arrow(rows, run, f"{kinds}, list long")
 
 
 def _search_block(k: int):

@@ -40,6 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
+
 TURN, END = "<|turn|>", "<|end|>"
 # Strings that chat models read as control. "<|" opens every marker of that form.
 CONTROL = ["<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -551,7 +553,7 @@ def format_conversations(rows: DataFrame, template: str = CHAT, conv: str = "con
                 continue
             yield from _batches(pieces(_rows(b.rest)), ["c", "piece", "text", "loss"], [arrow, pa.int64(), pa.string(), pa.bool_()])
 
-    out = d.mapInArrow(run, f"c {kind}, piece long, text string, loss boolean")
+    out = in_arrow(d, run, f"c {kind}, piece long, text string, loss boolean")
     return out.withColumnRenamed("c", conv)
 
 
@@ -623,4 +625,4 @@ def read_back(pieces: DataFrame, conv: str = "conv_id") -> DataFrame:
             yield from _batches(digests(_rows(b.rest)), ["c", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
                                 [arrow, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()])
 
-    return d.mapInArrow(run, schema).withColumnRenamed("c", conv)
+    return in_arrow(d, run, schema).withColumnRenamed("c", conv)

@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
+BATCH_BYTES = 8 << 20
+
+
+def in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with record batches of at most about BATCH_BYTES (or one row), whatever the length of the texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

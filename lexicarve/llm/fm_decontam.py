@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size
+from .common import by_size, in_arrow
 
 WINDOW = 13
 SHARD_BYTES = 12 << 20  # text per index
@@ -257,7 +257,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                                           for i, x in zip(r, found)], pair))
                 yield pa.RecordBatch.from_arrays(cols, names=["k", "n_words", "n_hit", "items", "spans"][:len(cols)])
 
-    return d.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return in_arrow(d, run, schema).withColumnRenamed("k", key)
 
 
 def is_contaminated():
@@ -279,7 +279,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
                 keep += [not (h > 0 and 20 * h >= n) for n, h, _, _ in scan([texts[i] for i in r], phrases)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema).select(*names)
+    return in_arrow(docs, run, docs.schema).select(*names)
 
 
 def items_digest(items: list[str]) -> str:

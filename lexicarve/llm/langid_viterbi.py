@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, id_mod, mix32
+from .common import by_size, id_mod, in_arrow, mix32
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 1500
@@ -287,7 +287,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
                                          names=["l", "i", "n"])
 
     # at most languages x (buckets + scripts) rows
-    got = sample.mapInArrow(count, "l int, i int, n long").groupBy("l", "i").agg(F.sum("n").alias("n")).toArrow()
+    got = in_arrow(sample, count, "l int, i int, n long").groupBy("l", "i").agg(F.sum("n").alias("n")).toArrow()
     both = np.zeros((BUCKETS + OTHER + 1, k))
     both[got.column("i").to_numpy(), got.column("l").to_numpy()] = got.column("n").to_numpy()
     return Model(langs, both[:BUCKETS], both[BUCKETS:], np.array([rows[g] for g in langs]))
@@ -314,7 +314,7 @@ def label_languages(docs: DataFrame, model: Model, text: str = "text", key: str
                     names.append("spans")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return d.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return in_arrow(d, run, schema).withColumnRenamed("k", key)
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
@@ -329,7 +329,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float, text: str =
                 keep += [p != UND and s >= min_score for p, s in zip(pred, score)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema).select(*names)
+    return in_arrow(docs, run, docs.schema).select(*names)
 
 
 def learnable(docs: DataFrame, key: str = "doc_id") -> DataFrame:

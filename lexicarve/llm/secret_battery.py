@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import in_arrow, shared
 
 KINDS = ["assign", "access", "hex", "random"]  # in the order that breaks ties of start
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -149,7 +149,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                                              names=["k", "base", "found", "decoys"])
 
-    return d.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return in_arrow(d, run, schema).withColumnRenamed("k", key)
 
 
 def cuts(scanned: DataFrame, fdr: float = FDR) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, shared
+from .common import connected_components, in_arrow, shared
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["k", "fp"])
 
     kind = d.schema["k"].dataType.simpleString()
-    return d.mapInArrow(run, f"k {kind}, fp long").select(F.col("k").alias(key), "fp")
+    return in_arrow(d, run, f"k {kind}, fp long").select(F.col("k").alias(key), "fp")
 
 
 def _high(fp):
