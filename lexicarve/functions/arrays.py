@@ -16,7 +16,7 @@ def pad_right(ids: Column | str, length: Column | int, pad: int = PAD_ID) -> Col
     """Right-pad with ``pad`` up to ``length`` (no-op for longer rows)."""
     n = F.lit(length) if isinstance(length, int) else length
     ids = _col(ids)
-    return F.concat(ids, F.array_repeat(F.lit(pad), F.greatest(n - F.size(ids), F.lit(0))))
+    return F.concat(ids, F.array_repeat(F.lit(pad).cast("long"), F.greatest(n - F.size(ids), F.lit(0))))
 
 
 def truncate_keep_end(ids: Column | str, max_len: int) -> Column:

@@ -17,9 +17,17 @@ def vote_sum(votes: Sequence[str]) -> Column:
 
 
 def any_vote(votes: Sequence[str]) -> Column:
-    """1 if the vote sum is positive, else the (non-positive) sum itself."""
+    """1 if the vote sum is positive, else the (non-positive, maybe fractional) sum itself."""
     s = vote_sum(votes)
-    return F.when(s > 0, F.lit(1)).otherwise(s.cast("int")).cast("int")
+    return F.when(s > 0, F.lit(1.0)).otherwise(s)
+
+
+def positional_votes(columns: Sequence[str], key: str | None = None) -> list[str]:
+    """P5: the vote columns of a labelled file are all columns after the first (the text), whatever their names.
+
+    A key column that was added by the reader is not a vote.
+    """
+    return [c for c in columns if c != key][1:]
 
 
 def threshold_vote(votes: Sequence[str], min_votes: int = 2) -> Column:

@@ -31,6 +31,15 @@ EXTRA_FOLDS = {
     "ŋ": "ng", "Ŋ": "NG",
 }
 
+# General Punctuation with an ASCII spelling.
+PUNCTUATION_FOLDS = {
+    "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-", "\u2014": "--", "\u2015": "--",
+    "\u2018": "'", "\u2019": "'", "\u201a": ",", "\u201b": "'",
+    "\u201c": '"', "\u201d": '"', "\u201e": ",,", "\u201f": '"',
+    "\u2022": "*", "\u2026": "...", "\u2032": "'", "\u2033": "''", "\u2039": "<", "\u203a": ">",
+    "\u00a0": " ", "\u2002": " ", "\u2003": " ", "\u2009": " ", "\u202f": " ", "\u00ab": "<<", "\u00bb": ">>",
+}
+
 # Stop words removed after accent folding. Entries that carry accents can
 # never match folded tokens; they are kept on purpose (faithful behaviour),
 # pass ``fold_list=True`` to fold the list as well.
@@ -73,10 +82,10 @@ FIRST_WORD_ID = 4
 # --- end of fixed values ----------------------------------------------------
 
 
-def _decomposed_folds(lo: int = 0xC0, hi: int = 0x250) -> dict[str, str]:
-    """Latin-1 Supplement and Latin Extended-A/B letters that decompose to ASCII."""
+def _decomposed_folds() -> dict[str, str]:
+    """Latin letters (Latin-1 to Extended-B, and Extended Additional) that decompose to ASCII."""
     out: dict[str, str] = {}
-    for cp in range(lo, hi):
+    for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         ch = chr(cp)
         base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if base != ch and base.isascii() and base:
@@ -92,6 +101,7 @@ def accent_folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """
     folds = _decomposed_folds()
     folds.update(EXTRA_FOLDS)
+    folds.update(PUNCTUATION_FOLDS)
     single = sorted((k, v) for k, v in folds.items() if len(v) == 1)
     multi = tuple(sorted((k, v) for k, v in folds.items() if len(v) > 1))
     return "".join(k for k, _ in single), "".join(v for _, v in single), multi
@@ -103,4 +113,4 @@ def fold_word(word: str) -> str:
     out = word.translate(str.maketrans(src, dst))
     for k, v in multi:
         out = out.replace(k, v)
-    return out
+    return "".join(c for c in out if c.isascii())

@@ -1,7 +1,8 @@
 """Column -> Column text functions.
 
-All of them are built-in Spark expressions, so they stay inside
-whole-stage codegen and work unchanged on batch and streaming frames.
+All of them are built-in Spark expressions and work unchanged on batch and
+streaming frames. Scalar ones are generated code; ``filter`` and
+``transform`` over token arrays are interpreted inside the JVM.
 """
 
 from __future__ import annotations
@@ -29,12 +30,19 @@ def strip_punctuation(c: Column | str) -> Column:
 
 
 def fold_accents(c: Column | str) -> Column:
-    """Fold accented Latin letters to ASCII (``ação`` -> ``acao``, ``ß`` -> ``ss``)."""
+    """Fold to ASCII (``ação`` -> ``acao``, ``ß`` -> ``ss``, curly quotes to straight ones).
+
+    Covers Latin up to U+1EFF and General Punctuation; combining marks go,
+    so decomposed letters fold like composed ones, and what is left
+    outside ASCII is deleted. ASCII texts skip all of it.
+    """
     src, dst, multi = accent_folds()
-    out = F.translate(_col(c), src, dst)
+    text = _col(c)
+    out = F.translate(text, src, dst)
     for k, v in multi:
         out = F.replace(out, F.lit(k), F.lit(v))
-    return out
+    out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), out).otherwise(text)
 
 
 def lowercase(c: Column | str) -> Column:
@@ -76,8 +84,8 @@ def stop_word_list(words: Iterable[str] | None = None, fold_list: bool = False)
 def remove_stop_words(tokens: Column | str, words: Iterable[str] | None = None,
                       fold_list: bool = False) -> Column:
     """Drop stop words from a token array (order kept)."""
-    lst = F.array(*[F.lit(w) for w in stop_word_list(words, fold_list)])
-    return F.filter(_col(tokens), lambda t: ~F.array_contains(lst, t))
+    lst = stop_word_list(words, fold_list)
+    return F.filter(_col(tokens), lambda t: ~t.isin(lst))
 
 
 def lemmatize(tokens: Column | str, lemmas: Iterable[tuple[str, str]] | None = None) -> Column:

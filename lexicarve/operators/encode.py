@@ -13,9 +13,12 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays as ar
+from ..functions import text as tx
 from ..functions.lexicon import CLS_ID, FIRST_WORD_ID, SEP_ID, UNK_ID
+from ..session import shared
 from .positions import sorted_index
 from .text import collect_tokens, explode_tokens
 
@@ -23,8 +26,8 @@ from .text import collect_tokens, explode_tokens
 def word_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """(token, id): distinct tokens in sorted order, ids from FIRST_WORD_ID."""
     words = tokens_df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull()).distinct()
-    v = sorted_index(words, ["token"], name="_i")
-    return v.select("token", (F.col("_i") + F.lit(FIRST_WORD_ID)).cast("int").alias("id"))
+    v = sorted_index(shared(words, "words"), ["token"], name="_i")  # the index reads the words three times
+    return v.select("token", (F.col("_i") + F.lit(FIRST_WORD_ID)).alias("id"))
 
 
 def encode_words(tokens_df: DataFrame, vocab: DataFrame, key: str = "doc_id",
@@ -35,12 +38,17 @@ def encode_words(tokens_df: DataFrame, vocab: DataFrame, key: str = "doc_id",
                 .select(key, "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("token")))
     ids = collect_tokens(ided, key, out="_ids")
     base = tokens_df.select(key).join(ids, key, "left")
-    body = F.coalesce(F.col("_ids"), F.array().cast("array<int>"))
-    return base.select(key, F.concat(F.array(F.lit(CLS_ID)), body, F.array(F.lit(SEP_ID))).alias(out))
+    body = F.coalesce(F.col("_ids"), F.array().cast("array<bigint>"))
+    return base.select(key, F.concat(F.array(F.lit(CLS_ID).cast("long")), body, F.array(F.lit(SEP_ID).cast("long"))).alias(out))
 
 
 def pad_to_longest(df: DataFrame, ids: str = "input_ids", out: str = "padded") -> DataFrame:
-    """E2 + A5: right-pad every row with 0 to the longest row of the frame (scalar subquery)."""
+    """E2 + A5: right-pad every row with 0 to the longest row of the frame (scalar subquery).
+
+    One very long row makes every row that long. Keep ids ragged between
+    steps and pad a batch at a time at the model boundary, or use E3; this
+    is for frames whose longest row is known to be short.
+    """
     longest = df.select(F.max(F.size(ids))).scalar()
     return df.withColumn(out, ar.pad_right(ids, longest))
 
@@ -58,6 +66,26 @@ def examples(df: DataFrame, padded: str = "padded", label: str | None = "label",
     return df.select(*cols)
 
 
+def padded_width(df: DataFrame, ids: str = "input_ids") -> DataFrame:
+    """E2 without the padding: adds ``padded_len`` (A5), and ``n_real``, the part that is not padding."""
+    return df.withColumn("padded_len", df.select(F.max(F.size(ids))).scalar()).withColumn("n_real", F.size(ids))
+
+
+def encode_examples(df: DataFrame, vocab: DataFrame, label: str | None = "label", limit: int = -1, max_len: int = 512,
+                    key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The first ``limit`` rows by key (all rows unless it is positive) as encoded examples.
+
+    ``text`` holds UTF-8 bytes, as a dataset iterator gives them (T12), or strings.
+    """
+    rows = df.orderBy(key).limit(limit) if limit > 0 else df
+    c = tx.decode_utf8(text) if isinstance(df.schema[text].dataType, T.BinaryType) else F.col(text)
+    words = rows.select(key, tx.word_tokens(tx.preprocess(c)).alias("tokens"))
+    enc = encode_words(words, vocab, key)
+    if label:
+        enc = enc.join(rows.select(key, label), key)
+    return examples(fixed_length(enc, "input_ids", max_len), "padded", label, key)
+
+
 def first_position(states: Column | str) -> Column:
     """E8 slice: the vector at sequence position 0 of a (positions x width) matrix."""
     s = F.col(states) if isinstance(states, str) else states

@@ -1,14 +1,21 @@
-"""Positional operators without a group-wide window.
+"""Positional operators without a group-wide window and without a job before the action.
 
 The reference addresses rows by position ("first N rows of class 1",
-"rows 5001..5501", "first 85 %"). ``row_number() over (partition by
-class order by key)`` would put a whole class - possibly a third of the
-data - into one task. Instead the order key is cut into fixed-width
-buckets: a partial aggregate gives the row count per (group, bucket), a
-running sum over that small table gives each bucket's starting offset,
-and only the rows of the one bucket that holds the wanted rank are
-ranked with a window. Every window therefore sees at most
-``bucket_width`` rows (the key is unique per group), whatever the skew.
+"rows 5001..5501", "first 85 %"). ``row_number() over (partition by class
+order by key)`` would put a whole class - possibly a third of the data -
+into one task. Here the order is cut at up to ``cuts`` sampled values, held
+in one scalar subquery, so every use of a bucket sees the same cuts. A
+partial aggregate counts rows per (group, bucket), a running sum over that
+small table (at most groups x (cuts + 1) rows) gives each bucket's offset,
+and only rows of one (group, bucket) are ordered together.
+
+Any sortable columns can be the order: the cuts come from a sample chosen by
+hash, so sparse 64-bit keys and strings are cut as evenly as dense
+integers. Order columns should identify a row; rows that are equal in all
+of them get neighbouring positions in any order. A null group is a group of
+its own, and null order values come first. The frame is evaluated more than
+once, so it must be deterministic; write an expensive one to the shared
+folder first.
 """
 
 from __future__ import annotations
@@ -18,122 +25,110 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 16
-# Largest table broadcast after an explicit row count.
-BROADCAST_MAX_ROWS = 1_000_000
+CUTS = 1023
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; above the bound leave the join to AQE.
+def sample_cuts(df: DataFrame, order: Sequence[str], cuts: int = CUTS) -> Column:
+    """Sorted order values of the ``cuts`` rows with the smallest hash, as one scalar array."""
+    s = df.select(F.struct(*order).alias("_s")).withColumn("_h", F.xxhash64("_s"))
+    return s.orderBy("_h", "_s").limit(cuts).agg(F.array_sort(F.collect_list("_s"))).scalar()
 
-    The frame is cached first so that the count and the join read it once.
-    """
-    df = df.persist()
-    return F.broadcast(df) if df.count() <= max_rows else df
+
+def with_bucket(df: DataFrame, order: Sequence[str], cuts: Column, n: int = CUTS) -> DataFrame:
+    """Adds ``_bkt``: how many cuts are at or below the row's order value (binary search)."""
+    steps = [1 << i for i in reversed(range(max(1, n.bit_length())))]
+    d = df.withColumn("_cuts", cuts).withColumn("_s", F.struct(*order))
+
+    def climb(at: Column, step: Column) -> Column:
+        return F.when(F.get("_cuts", at + step - 1) <= F.col("_s"), at + step).otherwise(at)
+
+    return d.withColumn("_bkt", F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), climb)).drop("_cuts", "_s")
 
 
-def _bucket(key: str, width: int) -> Column:
-    return F.floor(F.col(key) / F.lit(width)).cast("long")
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Null-safe equality of ``cols`` with their prefixed twins in ``right``."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[f"_o_{c}"])
+    return cond
 
 
-def bucket_offsets(df: DataFrame, key: str, group: Sequence[str] = (),
-                   width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def _twins(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_o_{c}" for c in cols})
+
+
+def bucket_offsets(bucketed: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """(group..., _bkt, _n, _off): rows per bucket and rows in earlier buckets of the group."""
     g = list(group)
-    counts = (df.select(*g, _bucket(key, width).alias("_bkt"))
-                .groupBy(*g, "_bkt").agg(F.count(F.lit(1)).alias("_n")))
+    counts = bucketed.groupBy(*g, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*g).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long"))
 
 
-def kth_keys(df: DataFrame, key: str, ranks: Sequence[int], group: Sequence[str] = (),
-             width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Key value at each 1-based rank in ``ranks`` per group: (group..., _k, _key).
+def kth_rows(df: DataFrame, order: Sequence[str], rank: Column, group: Sequence[str] = (),
+             cuts: int = CUTS) -> DataFrame:
+    """(group..., _k, _at): the order value (a struct) at each wanted 1-based rank of each group.
 
-    Groups with fewer rows than a rank have no row for it.
+    ``rank`` is an array of ranks that may use ``_size``, the group's row
+    count. A rank that a group does not reach gives no row.
     """
     g = list(group)
-    offs = bucket_offsets(df, key, g, width)
-    hits = None
-    for k in ranks:
-        h = (offs.where((F.col("_off") < k) & (F.col("_off") + F.col("_n") >= k))
-                 .select(*g, "_bkt", "_off", F.lit(k).cast("long").alias("_k")))
-        hits = h if hits is None else hits.unionByName(h)
-    hits = broadcast_if_small(hits)
-    rows = df.select(*g, key, _bucket(key, width).alias("_bkt")).join(hits, on=[*g, "_bkt"])
-    w = Window.partitionBy(*g, "_bkt", "_k").orderBy(key)
-    ranked = rows.withColumn("_r", F.col("_off") + F.row_number().over(w))
-    return ranked.where(F.col("_r") == F.col("_k")).select(*g, "_k", F.col(key).alias("_key"))
-
-
-def rank_range(df: DataFrame, key: str, first: int, last: int | None,
-               group: Sequence[str] = (), width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    cols = list(dict.fromkeys([*g, *order]))
+    b = with_bucket(df.select(*cols), order, sample_cuts(df, order, cuts), cuts)
+    offs = bucket_offsets(b, g).withColumn("_size", F.sum("_n").over(Window.partitionBy(*g)))
+    hits = offs.withColumn("_k", F.explode(F.array_distinct(rank))) \
+               .where((F.col("_off") < F.col("_k")) & (F.col("_off") + F.col("_n") >= F.col("_k")))
+    hits = _twins(hits.select(*g, "_bkt", "_off", F.col("_k").cast("long").alias("_k")), [*g, "_bkt"])
+    rows = b.join(hits, _same(b, hits, [*g, "_bkt"]))
+    w = Window.partitionBy(*g, "_bkt", "_k").orderBy(*order)
+    return (rows.withColumn("_r", F.col("_off") + F.row_number().over(w)).where(F.col("_r") == F.col("_k"))
+                .select(*g, "_k", F.struct(*order).alias("_at")))
+
+
+def rank_range(df: DataFrame, key: str, first: int, last: int | None, group: Sequence[str] = ()) -> DataFrame:
     """Rows whose 1-based rank within the group lies in ``[first, last]`` (``last=None``: no end).
 
-    Only a key comparison against two per-group boundary keys is applied to
-    the input, so the input itself is neither shuffled nor ranked.
+    The input is only compared with two boundary values per group; it is
+    neither shuffled by key nor ranked.
     """
     g = list(group)
     ranks = [r for r in (first - 1 if first > 1 else None, last) if r is not None]
     if not ranks:
         return df
-    ks = kth_keys(df, key, ranks, g, width)
-    lo = (ks.where(F.col("_k") == first - 1).select(*g, F.col("_key").alias("_lo"))
-          if first > 1 else None)
-    hi = ks.where(F.col("_k") == last).select(*g, F.col("_key").alias("_hi")) if last is not None else None
-    out = df
-    if lo is not None:
-        if g:
-            # a group that does not reach rank first-1 has no row in range
-            out = out.join(broadcast_if_small(lo), on=g, how="inner").where(F.col(key) > F.col("_lo")).drop("_lo")
-        else:
-            out = out.where(F.col(key) > lo.select("_lo").scalar())
-    if hi is not None:
-        if g:
-            out = (out.join(broadcast_if_small(hi), on=g, how="left")
-                      .where(F.col("_hi").isNull() | (F.col(key) <= F.col("_hi"))).drop("_hi"))
-        else:
-            thr = hi.select("_hi").scalar()
-            out = out.where(thr.isNull() | (F.col(key) <= thr))
-    return out
-
-
-def positional_index(df: DataFrame, key: str, group: Sequence[str] = (), name: str = "rn",
-                     width: int = DEFAULT_BUCKET_WIDTH, with_group_size: str | None = None,
-                     tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Exact ``row_number() over (partition by group order by key)`` for every row.
-
-    The window runs per (group, bucket), so no task holds more than
-    ``width`` rows of one group. ``with_group_size`` also attaches the
-    group's row count (for ntile-style numbering).
+    ks = kth_rows(df, [key], F.array(*[F.lit(r).cast("long") for r in ranks]), g)
+    lo = F.max(F.when(F.col("_k") == first - 1, F.col("_at"))) if first > 1 else F.lit(None)
+    hi = F.max(F.when(F.col("_k") == last, F.col("_at"))) if last is not None else F.lit(None)
+    ends = _twins(ks.groupBy(*g).agg(lo.alias("_lo"), hi.alias("_hi")), g)
+    out = df.join(ends, _same(df, ends, g), "left") if g else df.join(ends, F.lit(True), "left")
+    at = F.struct(key)
+    keep = F.lit(True)
+    if first > 1:  # a group that does not reach rank first - 1 has no row in the range
+        keep = keep & F.col("_lo").isNotNull() & (at > F.col("_lo"))
+    if last is not None:
+        keep = keep & (F.col("_hi").isNull() | (at <= F.col("_hi")))
+    return out.where(keep).select(*[df[c] for c in df.columns])
+
+
+def positional_index(df: DataFrame, order: str | Sequence[str], group: Sequence[str] = (), name: str = "rn",
+                     with_group_size: str | None = None, cuts: int = CUTS) -> DataFrame:
+    """Exact ``row_number() over (partition by group order by order)`` for every row.
+
+    The window runs per (group, bucket). ``with_group_size`` also attaches
+    the group's row count (for ntile-style numbering).
     """
+    order = [order] if isinstance(order, str) else list(order)
     g = list(group)
-    offs = bucket_offsets(df, key, g, width)
-    keep = [*g, "_bkt", "_off"]
+    b = with_bucket(df, order, sample_cuts(df, order, cuts), cuts)
+    offs = bucket_offsets(b.select(*g, "_bkt"), g)
     if with_group_size:
-        tot = Window.partitionBy(*g)
-        offs = offs.withColumn(with_group_size, F.sum("_n").over(tot).cast("long"))
-        keep.append(with_group_size)
-    rows = df.withColumn("_bkt", _bucket(key, width)).join(offs.select(*keep), on=[*g, "_bkt"])
-    w = Window.partitionBy(*g, "_bkt").orderBy(key, *tiebreak)
-    return rows.withColumn(name, (F.col("_off") + F.row_number().over(w)).cast("long")).drop("_bkt", "_off")
+        offs = offs.withColumn(with_group_size, F.sum("_n").over(Window.partitionBy(*g)).cast("long"))
+    offs = _twins(offs.drop("_n"), [*g, "_bkt"])
+    rows = b.join(offs, _same(b, offs, [*g, "_bkt"]))
+    w = Window.partitionBy(*g, "_bkt").orderBy(*order)
+    keep = [*df.columns, name] + ([with_group_size] if with_group_size else [])
+    return rows.withColumn(name, (F.col("_off") + F.row_number().over(w)).cast("long")).select(*keep)
 
 
-def sorted_index(df: DataFrame, order: Sequence[str], name: str = "idx",
-                 num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in the global order of ``order`` (unique keys).
-
-    Range-partitions on the order, numbers rows inside each sorted
-    partition, and adds the row count of all earlier partitions (a table
-    with one row per partition, so its broadcast is bounded).
-    """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    pid = F.spark_partition_id().cast("long")
-    r = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-           .withColumn("_pid", pid)
-           .withColumn("_loc", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
-    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_off"))
-    return (r.join(F.broadcast(offs), "_pid")
-             .withColumn(name, F.col("_off") + F.col("_loc")).drop("_pid", "_loc", "_off"))
+def sorted_index(df: DataFrame, order: Sequence[str], name: str = "idx", cuts: int = CUTS) -> DataFrame:
+    """0-based position of each row in the global order of ``order``."""
+    return positional_index(df, order, name=name, cuts=cuts).withColumn(name, F.col(name) - 1)

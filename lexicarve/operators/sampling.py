@@ -1,35 +1,33 @@
 """Balanced samples, hold-outs, heads, splits, shuffles, batches, folds.
 
-All positional selections go through :mod:`.positions`, i.e. a cheap
-bucket count followed by a key comparison, never a class-wide window.
+Positional selections go through :mod:`.positions`: a bucket count and a
+comparison with boundary values, never a class-wide window, and no job
+runs while a query is being defined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .positions import (DEFAULT_BUCKET_WIDTH, bucket_offsets, positional_index, rank_range,
-                        sorted_index)
+from .positions import kth_rows, positional_index, rank_range, sorted_index
 
 
-def balanced_sample(df: DataFrame, label: str, n: int, key: str = "doc_id",
-                    width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def balanced_sample(df: DataFrame, label: str, n: int, key: str = "doc_id") -> DataFrame:
     """First ``n`` rows (by ``key``) of every class; a short class gives what it has."""
-    return rank_range(df, key, 1, n, group=[label], width=width)
+    return rank_range(df, key, 1, n, group=[label])
 
 
-def holdout(df: DataFrame, label: str, start: int, n: int, key: str = "doc_id",
-            width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def holdout(df: DataFrame, label: str, start: int, n: int, key: str = "doc_id") -> DataFrame:
     """Zero-based rows ``[start, start + n)`` of every class (disjoint from W1 when start >= N)."""
-    return rank_range(df, key, start + 1, start + n, group=[label], width=width)
+    return rank_range(df, key, start + 1, start + n, group=[label])
 
 
-def head(df: DataFrame, n: int, key: str = "doc_id", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def head(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """L1: first ``n`` rows by ``key`` (``n <= 0``: all rows, as ``take`` only runs for a positive limit)."""
-    return df if n <= 0 else rank_range(df, key, 1, n, width=width)
+    return df if n <= 0 else df.orderBy(key).limit(n)
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -45,23 +43,24 @@ def reset_index(df: DataFrame, order: Sequence[str], name: str = "row") -> DataF
     return sorted_index(df, order, name=name)
 
 
-def ordered_split(df: DataFrame, fraction: float = 0.85, key: str = "doc_id",
-                  name: str = "slice", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """L2: first ``floor(fraction * n)`` rows by key are 'train', the rest 'test'.
+def ordered_split(df: DataFrame, fraction: float = 0.85, order: str | Sequence[str] = "doc_id", name: str = "slice",
+                  stratify: str | None = None) -> DataFrame:
+    """L2: the first ``floor(fraction * n)`` rows in ``order`` are 'train', the rest 'test'.
 
-    ``n`` is a scalar subquery and the boundary key is found from the
-    bucket counts, so the split itself is a projection of the input.
+    The reference splits the class-stacked order, i.e. ``order=[class,
+    key]``: the end of the last class becomes the test part. With
+    ``stratify`` the same fraction is taken from the start of every class.
     """
-    n = df.select(F.count(F.lit(1))).scalar()
-    k = F.floor(n * F.lit(float(fraction))).cast("long")
-    offs = bucket_offsets(df, key, (), width)
-    hit = offs.where((F.col("_off") < k) & (F.col("_off") + F.col("_n") >= k)).select("_bkt", "_off")
-    cut_rows = df.select(key, F.floor(F.col(key) / F.lit(width)).cast("long").alias("_bkt")).join(hit, "_bkt")
-    w = Window.partitionBy("_bkt").orderBy(key)
-    cut = (cut_rows.withColumn("_r", F.col("_off") + F.row_number().over(w))
-                   .where(F.col("_r") == k).select(F.max(F.col(key))).scalar())
-    train = cut.isNotNull() & (F.col(key) <= cut)
-    return df.withColumn(name, F.when(train, F.lit("train")).otherwise(F.lit("test")))
+    order = [order] if isinstance(order, str) else list(order)
+    g = [stratify] if stratify else []
+    last = kth_rows(df, order, F.array(F.floor(F.col("_size") * F.lit(float(fraction)))), g)
+    if g:
+        ends = last.select(F.col(stratify).alias("_g"), F.col("_at").alias("_end"))
+        out = df.join(ends, df[stratify].eqNullSafe(ends["_g"]), "left").withColumn("_e", F.col("_end")).drop("_g", "_end")
+    else:
+        out = df.withColumn("_e", last.agg(F.max("_at")).scalar())
+    train = F.col("_e").isNotNull() & (F.struct(*order) <= F.col("_e"))
+    return out.withColumn(name, F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("_e")
 
 
 def hash_fraction_key(key: str, seed: int) -> "F.Column":
@@ -78,17 +77,10 @@ def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42, key:
                                  .otherwise(F.lit("train")))
 
 
-def shuffle_order(df: DataFrame, seed: int = 42, key: str = "doc_id", name: str = "shuffle_rn",
-                  bucket_bits: int = 20) -> DataFrame:
-    """L4: full seeded shuffle; ``name`` is the 1-based position in the shuffled order.
-
-    Order is (md5 key, key). The md5 part is 32 bits; its top
-    ``bucket_bits`` bits pick the bucket, so the offsets table has at most
-    ``2^bucket_bits`` rows and each bucket ~``n / 2^bucket_bits`` rows.
-    """
-    hk = "_shuffle_key"
-    out = df.withColumn(hk, hash_fraction_key(key, seed))
-    return positional_index(out, hk, name=name, width=1 << (32 - bucket_bits), tiebreak=[key]).drop(hk)
+def shuffle_order(df: DataFrame, seed: int = 42, key: str = "doc_id", name: str = "shuffle_rn") -> DataFrame:
+    """L4: full seeded shuffle; ``name`` is the 1-based position in the order of (md5 key, key)."""
+    out = df.withColumn("_shuffle_key", hash_fraction_key(key, seed))
+    return positional_index(out, ["_shuffle_key", key], name=name).drop("_shuffle_key")
 
 
 def batches(df: DataFrame, order_col: str, size: int = 64, name: str = "batch") -> DataFrame:
@@ -96,10 +88,9 @@ def batches(df: DataFrame, order_col: str, size: int = 64, name: str = "batch")
     return df.withColumn(name, F.floor((F.col(order_col) - 1) / F.lit(size)).cast("long"))
 
 
-def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "doc_id", name: str = "fold",
-                     width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "doc_id", name: str = "fold") -> DataFrame:
     """``ntile(k) - 1`` over (partition by label order by key), without a class-wide window."""
-    r = positional_index(df, key, [label], name="_rn", width=width, with_group_size="_cnt")
+    r = positional_index(df, key, [label], name="_rn", with_group_size="_cnt")
     q = F.floor(F.col("_cnt") / k)
     rem = F.col("_cnt") - q * k
     big = rem * (q + 1)

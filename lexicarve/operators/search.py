@@ -9,7 +9,6 @@ window expressions over it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -95,37 +94,23 @@ def threshold_sweep(df: DataFrame, value: str, label: str, thresholds: DataFrame
                     t_col: str = "threshold") -> DataFrame:
     """Confusion counts of the rule ``value > t`` for every t, without pairing rows with thresholds.
 
-    The data is reduced to a histogram (value, positives, negatives) by a
-    partial aggregate; threshold rows are merged into the value order and
-    pick up running sums of everything strictly above them. Work on the
-    data is one aggregate; the sweep runs over distinct values only.
+    The thresholds (one row per trial) are held in one sorted array. A row
+    finds how many of them lie below its value, the data are counted by
+    that number (at most trials + 1 groups, whatever the values), and
+    running sums over those few counts give every threshold's part above.
     """
-    hist = (df.groupBy(F.col(value).cast("double").alias("_v"))
-              .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_pos"),
-                   F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("_neg"))
-              .withColumn("_kind", F.lit(1)))
-    marks = thresholds.select(*[c for c in thresholds.columns],
-                              F.col(t_col).cast("double").alias("_v"), F.lit(0).cast("long").alias("_pos"),
-                              F.lit(0).cast("long").alias("_neg"), F.lit(0).alias("_kind"))
-    cols = thresholds.columns
-    hist = hist.select(*[F.lit(None).cast(thresholds.schema[c].dataType).alias(c) for c in cols],
-                       "_v", "_pos", "_neg", "_kind")
-    allrows = marks.unionByName(hist)
-    # descending value; at equal value the threshold row comes first, so it
-    # sums only values strictly greater than itself
-    w = Window.orderBy(F.desc("_v"), F.asc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    marks = thresholds.where(F.col(t_col).isNotNull())
+    cuts = marks.select(F.col(t_col).cast("double").alias("t")).distinct().agg(F.array_sort(F.collect_list("t"))).scalar()
+    v = F.col(value).cast("double")
+    d = df.select(v.alias("_v"), (F.col(label) == 1).alias("_y")).withColumn("_cuts", cuts)
+    below = d.select("_y", F.size(F.filter("_cuts", lambda t: t < F.col("_v"))).alias("_b"))
+    counts = below.groupBy("_b").agg(F.count_if("_y").alias("_pos"), F.count_if(~F.col("_y")).alias("_neg"))
+    ranked = marks.withColumn("_b", F.dense_rank().over(Window.orderBy(F.col(t_col).cast("double"))))
+    rows = ranked.withColumn("_mark", F.lit(True)).unionByName(counts.withColumn("_mark", F.lit(False)), allowMissingColumns=True)
+    # a value above exactly b thresholds is above those of rank b and less
+    w = Window.orderBy(F.desc("_b")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tot = Window.partitionBy(F.lit(1))
-    swept = (allrows.withColumn("tp", F.sum("_pos").over(w)).withColumn("fp", F.sum("_neg").over(w))
-                    .withColumn("_P", F.sum("_pos").over(tot)).withColumn("_N", F.sum("_neg").over(tot)))
-    return (swept.where(F.col("_kind") == 0)
-                 .select(*cols, "tp", "fp", (F.col("_P") - F.col("tp")).alias("fn"),
-                         (F.col("_N") - F.col("fp")).alias("tn")))
-
-
-def best_trial(log: DataFrame, score: str = "f1", iter_col: str = "iter") -> DataFrame:
-    """Highest score, earliest trial wins ties."""
-    return log.orderBy(F.desc(score), F.asc(iter_col)).limit(1)
-
-
-def param_columns(space: dict) -> Sequence[str]:
-    return list(space)
+    swept = (rows.withColumn("tp", F.coalesce(F.sum("_pos").over(w), F.lit(0))).withColumn("fp", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
+                 .withColumn("_P", F.coalesce(F.sum("_pos").over(tot), F.lit(0))).withColumn("_N", F.coalesce(F.sum("_neg").over(tot), F.lit(0))))
+    return swept.where("_mark").select(*thresholds.columns, "tp", "fp", (F.col("_P") - F.col("tp")).alias("fn"),
+                                       (F.col("_N") - F.col("fp")).alias("tn"))

@@ -7,7 +7,7 @@ must be joined (J4).
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.ml.feature import NGram
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.lexicon import LEMMAS, STOP_WORDS
-from .positions import broadcast_if_small
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "tokens", stop_words: Iterable[str] | None = None,
@@ -49,10 +48,13 @@ def ngram_arrays(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_ma
 
 def ngram_counts(df: DataFrame, key: str = "doc_id", tokens_col: str = "tokens",
                  n_min: int = 1, n_max: int = 4) -> DataFrame:
-    """Per document and n: number of n-grams (T9 check surface)."""
-    exprs = [F.greatest(F.size(tokens_col) - F.lit(n - 1), F.lit(0)).alias(f"n{n}")
-             for n in range(n_min, n_max + 1)]
-    return df.select(key, *exprs)
+    """Per document and n: number of n-grams and the last of them."""
+    out = df
+    for n in range(n_min, n_max + 1):
+        out = ngram_arrays(out, tokens_col, n, n, out=f"_grams{n}")
+    cols = [c for n in range(n_min, n_max + 1)
+            for c in (F.size(f"_grams{n}").alias(f"n{n}"), F.get(f"_grams{n}", F.size(f"_grams{n}") - 1).alias(f"last{n}"))]
+    return out.select(key, *cols)
 
 
 def explode_tokens(df: DataFrame, key: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
@@ -79,13 +81,13 @@ def lexicon_table(spark: SparkSession, pairs: Iterable[tuple[str, str]] | None =
 
 
 def drop_stop_words_table(long: DataFrame, stop: DataFrame) -> DataFrame:
-    """``left_anti`` against a stop-word table (broadcast after a size check)."""
-    return long.join(broadcast_if_small(stop), "token", "left_anti")
+    """``left_anti`` against a stop-word table; Spark broadcasts it by its measured size or not at all."""
+    return long.join(stop, "token", "left_anti")
 
 
 def lemmatize_table(long: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Left join to a (token, lemma) table, identity fallback."""
-    j = long.join(broadcast_if_small(lexicon), "token", "left")
+    j = long.join(lexicon, "token", "left")
     return j.withColumn("token", F.coalesce("lemma", "token")).drop("lemma")
 
 
@@ -102,7 +104,3 @@ def clean_tokens_long(df: DataFrame, key: str = "doc_id", text: str = "text",
     long = drop_stop_words_table(long, stop if stop is not None else default_stop_table(spark))
     return lemmatize_table(long, lexicon if lexicon is not None else lexicon_table(spark))
 
-
-def token_strings(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Array columns rendered as blank-joined strings (for compact comparison)."""
-    return df.select(key, *[tx.join_tokens(c).alias(c) for c in cols])

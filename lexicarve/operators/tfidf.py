@@ -4,11 +4,12 @@ Smoothed idf ``ln((1 + N) / (1 + df)) + 1`` times the raw count, then
 L2-normalised per document; Spark ML's ``IDF`` has no ``+ 1`` and no norm,
 so it is not used.
 
-Plan at scale: the documents are hash-partitioned by key once (a shuffle
-of raw text, far smaller than the n-gram stream), so the per-document
-term count is an exchange-free aggregate. Document frequency is a
-partial+final aggregate by term; attaching it is a sort-merge join on
-term whose hot terms AQE splits (skew join). The norm is a window by
+Plan at scale: texts are never shuffled. Tokens and n-grams are made in the
+scan's tasks, counted per (document, term) with map-side combine, and the
+counts are written once to the shared folder. Document frequencies are
+counted from that table and written as well. As both sides of the join on
+term are then plain tables shuffled for the join alone, AQE can split a hot
+term (a word in every document) over many tasks. The norm is a window by
 document, whose size is bounded by the document.
 """
 
@@ -19,8 +20,10 @@ from collections.abc import Callable
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..session import scratch_path, shared
 from .positions import sorted_index
 from .text import ngram_arrays
 
@@ -32,14 +35,9 @@ def default_tokenizer(text: Column) -> Column:
 
 def term_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    tokenizer: Callable[[Column], Column] = default_tokenizer,
-                   n_min: int = 1, n_max: int = 4, prepartition: bool = True) -> DataFrame:
+                   n_min: int = 1, n_max: int = 4) -> DataFrame:
     """(key, term, tf) over word n-grams of the tokenised text."""
-    d = docs.select(key, text)
-    if prepartition:
-        # explicit count: AQE must not fold this CPU-heavy stage into a few tasks
-        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        d = d.repartition(n, key)
-    toks = d.select(key, tokenizer(F.col(text)).alias("_tok"))
+    toks = docs.select(key, tokenizer(F.col(text)).alias("_tok"))
     grams = ngram_arrays(toks, "_tok", n_min, n_max, out="_grams")
     # explode_outer: a plain explode lets Catalyst infer ``size(grams) > 0``
     # and push it under the projection, re-running the tokenizer per n.
@@ -54,8 +52,11 @@ def document_frequency(tf: DataFrame) -> DataFrame:
 
 
 def vocabulary(tf_or_df: DataFrame, name: str = "term_index") -> DataFrame:
-    """Distinct terms in sorted order, numbered from 0."""
-    return sorted_index(tf_or_df.select("term").distinct(), ["term"], name=name)
+    """Distinct terms in sorted order, numbered from 0 (a long).
+
+    The distinct terms are written once: the index reads them three times.
+    """
+    return sorted_index(shared(tf_or_df.select("term").distinct(), "terms"), ["term"], name=name)
 
 
 def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -66,42 +67,52 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``fit_docs`` (default: ``docs``) are the documents the idf is fitted
     on; the reference fits on all rows, pass the training part for a clean
     hold-out. Terms unseen in the fit set get no weight (as a fitted
-    vocabulary would ignore them).
+    vocabulary would ignore them). Term counts and document frequencies are
+    written to the shared folder when this is called.
     """
-    tf = term_frequency(docs, key, text, tokenizer, n_min, n_max)
+    tf = shared(term_frequency(docs, key, text, tokenizer, n_min, n_max), "tf")
     fit = fit_docs if fit_docs is not None else docs
     fit_tf = tf if fit_docs is None else term_frequency(fit_docs, key, text, tokenizer, n_min, n_max)
-    n_docs = fit.select(F.count(F.lit(1)).cast("double")).scalar()
-    dfreq = document_frequency(fit_tf)
+    dfreq = shared(document_frequency(fit_tf), "df")
+    return weights(tf, dfreq, fit.select(F.count(F.lit(1)).cast("double")).scalar(), key)
+
+
+def weights(tf: DataFrame, dfreq: DataFrame, n_docs: Column, key: str = "doc_id") -> DataFrame:
+    """J3 + T10 from written term counts and document frequencies."""
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = tf.join(dfreq, "term").withColumn("idf", idf).withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return w.withColumn("tfidf", F.col("_w") / norm).drop("_w")
 
 
-def doc_norms(weights: DataFrame, key: str = "doc_id", col: str = "tfidf") -> DataFrame:
-    """L2 norm per document."""
-    return weights.groupBy(key).agg(F.sqrt(F.sum(F.col(col) * F.col(col))).alias("l2"))
+def doc_norms(weighted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per document the L2 norm before normalising, and the squared norm after it."""
+    raw = F.col("tf") * F.col("idf")
+    return weighted.groupBy(key).agg(F.sqrt(F.sum(raw * raw)).alias("l2"), F.sum(F.col("tfidf") * F.col("tfidf")).alias("unit"))
+
 
+def sparse_arrays(weighted: DataFrame, vocab: DataFrame, docs: DataFrame, key: str = "doc_id", col: str = "tfidf") -> DataFrame:
+    """(key, size, indices, values), one row per document of ``docs``, also one without a term.
 
-@F.udf(returnType=VectorUDT())
-def _to_sparse(size, indices, values):
-    from pyspark.ml.linalg import SparseVector
-    return SparseVector(size, indices, values)
+    Indices are longs in ascending order, so a vocabulary may pass 2^31.
+    """
+    size = vocab.agg(F.coalesce(F.max("term_index") + 1, F.lit(0))).scalar()
+    pairs = (weighted.join(vocab, "term").groupBy(key)
+                     .agg(F.array_sort(F.collect_list(F.struct(F.col("term_index").alias("i"), F.col(col).cast("double").alias("v")))).alias("_p")))
+    none = F.array().cast("array<struct<i:bigint,v:double>>")
+    out = docs.select(key).join(pairs, key, "left").withColumn("_p", F.coalesce("_p", none))
+    return out.select(key, size.alias("size"), F.transform("_p", lambda s: s["i"]).alias("indices"), F.transform("_p", lambda s: s["v"]).alias("values"))
 
 
-def sparse_vectors(weights: DataFrame, vocab: DataFrame, key: str = "doc_id", col: str = "tfidf",
-                   out: str = "features") -> DataFrame:
-    """One ML ``SparseVector`` per document from (key, term, weight) and the vocabulary.
+def sparse_vectors(arrays: DataFrame, key: str = "doc_id", out: str = "features") -> DataFrame:
+    """T11 for Spark ML: the same rows as ML sparse vectors, whose indices are 32-bit (a larger one is an error).
 
-    Pairs are gathered and sorted by a JVM aggregate (one group per
-    document); only the final per-document wrap into the ML vector type is
-    a small Python function.
+    The arrays are written as the vector type's storage struct and read
+    back as vectors, so no row passes through Python.
     """
-    size = vocab.select(F.count(F.lit(1)).cast("int")).scalar()
-    pairs = (weights.join(vocab, "term")
-                    .groupBy(key)
-                    .agg(F.array_sort(F.collect_list(F.struct(F.col("term_index").cast("int").alias("i"),
-                                                               F.col(col).cast("double").alias("v")))).alias("_p")))
-    return pairs.select(key, _to_sparse(size, F.transform("_p", lambda s: s["i"]),
-                                        F.transform("_p", lambda s: s["v"])).alias(out))
+    path = scratch_path(arrays.sparkSession, "vectors")
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.col("size").cast("int").alias("size"),
+                     F.transform("indices", lambda i: i.cast("int")).alias("indices"), F.col("values").alias("values"))
+    arrays.select(key, parts.alias(out)).write.parquet(path)
+    schema = T.StructType([T.StructField(key, arrays.schema[key].dataType), T.StructField(out, VectorUDT())])
+    return arrays.sparkSession.read.schema(schema).parquet(path)

@@ -55,7 +55,7 @@ def register(name: str, sql: str | None = None):
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return labelled_corpus(spark, sf).withColumn("bin_class", lb.any_vote(["toxic"]))
+    return labelled_corpus(spark, sf).withColumn("bin_class", lb.any_vote(["toxic"]).cast("int"))
 
 
 CORPUS_SQL = ("(SELECT d.doc_id, d.text, d.lang, d.n_chars, l.toxic, l.quality, "
@@ -73,8 +73,8 @@ def s1_corpus_scan(spark, sf):
 
 @register("p1_any_vote", """
 SELECT doc_id, (coalesce(toxic, 0)::DOUBLE + coalesce(quality, 0)::DOUBLE) AS vote_sum,
-       CASE WHEN coalesce(toxic, 0)::DOUBLE + coalesce(quality, 0)::DOUBLE > 0 THEN 1
-            ELSE trunc(coalesce(toxic, 0)::DOUBLE + coalesce(quality, 0)::DOUBLE)::INTEGER END AS bin_class
+       CASE WHEN coalesce(toxic, 0)::DOUBLE + coalesce(quality, 0)::DOUBLE > 0 THEN 1e0
+            ELSE coalesce(toxic, 0)::DOUBLE + coalesce(quality, 0)::DOUBLE END AS bin_class
 FROM labels
 """)
 def p1_any_vote(spark, sf):
@@ -93,6 +93,26 @@ def p2_threshold_vote(spark, sf):
         "doc_id", lb.threshold_vote(["toxic", "quality"], 2).alias("bin_class"))
 
 
+@register("p5_positional_votes", """
+SELECT doc_id, CASE WHEN coalesce(quality, 0)::DOUBLE + coalesce(toxic, 0)::DOUBLE > 0 THEN 1e0
+                    ELSE coalesce(quality, 0)::DOUBLE + coalesce(toxic, 0)::DOUBLE END AS bin_class
+FROM documents JOIN labels USING (doc_id)
+""")
+def p5_positional_votes(spark, sf):
+    """P5: a frame (text, vote columns of any name...) beside its key is labelled by columns[1:]."""
+    c = labelled_corpus(spark, sf).select("text", "doc_id", F.col("quality").alias("_c7"), F.col("toxic").alias("x y"))
+    votes = lb.positional_votes(c.columns, key="doc_id")
+    return c.select("doc_id", lb.any_vote([f"`{v}`" for v in votes]).alias("bin_class"))
+
+
+@register("p3_class_rows", f"""
+SELECT doc_id, lang FROM {CORPUS_SQL} c WHERE bin_class = 1
+""")
+def p3_class_rows(spark, sf):
+    """The rows of one class."""
+    return corpus(spark, sf).where("bin_class = 1").select("doc_id", "lang")
+
+
 # --- 2.4 aggregations ---------------------------------------------------------
 @register("a1_class_counts", f"""
 SELECT lang, bin_class, count(*) AS n FROM {CORPUS_SQL} c GROUP BY lang, bin_class
@@ -159,12 +179,13 @@ def u1_train_holdout_stack(spark, sf):
     return sm.stack(train, hold)
 
 
-@register("p7_reset_index", f"""
-SELECT row_number() OVER (ORDER BY bin_class, doc_id) - 1 AS row, doc_id, bin_class FROM {W1_SQL} s
+@register("p7_reset_index", """
+SELECT row_number() OVER (ORDER BY lang, doc_id) - 1 AS row, doc_id, lang, n_chars, text FROM documents
 """)
 def p7_reset_index(spark, sf):
-    s = sm.balanced_sample(corpus(spark, sf), "bin_class", BALANCED_N).select("doc_id", "bin_class")
-    return sm.reset_index(s, ["bin_class", "doc_id"], name="row")
+    """P7 over all documents, payload kept."""
+    d = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text")
+    return sm.reset_index(d, ["lang", "doc_id"], name="row")
 
 
 @register("l1_head", f"""
@@ -176,12 +197,22 @@ def l1_head(spark, sf):
 
 @register("l2_ordered_split", f"""
 SELECT doc_id, bin_class,
-  CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * {SPLIT_FRACTION}) THEN 'train' ELSE 'test' END AS slice
-FROM {W1_SQL} s
+  CASE WHEN row_number() OVER (ORDER BY bin_class, doc_id) <= floor(count(*) OVER () * {SPLIT_FRACTION}) THEN 'train' ELSE 'test' END AS slice
+FROM {CORPUS_SQL} c
 """)
 def l2_ordered_split(spark, sf):
-    s = sm.balanced_sample(corpus(spark, sf), "bin_class", BALANCED_N).select("doc_id", "bin_class")
-    return sm.ordered_split(s, SPLIT_FRACTION, "doc_id")
+    """L2 in the reference's order: class 0 stacked on class 1, each by key."""
+    return sm.ordered_split(corpus(spark, sf).select("doc_id", "bin_class"), SPLIT_FRACTION, ["bin_class", "doc_id"])
+
+
+@register("l2_stratified_split", f"""
+SELECT doc_id, bin_class, CASE WHEN row_number() OVER (PARTITION BY bin_class ORDER BY doc_id)
+       <= floor(count(*) OVER (PARTITION BY bin_class) * {SPLIT_FRACTION}) THEN 'train' ELSE 'test' END AS slice
+FROM {CORPUS_SQL} c
+""")
+def l2_stratified_split(spark, sf):
+    """L2 with the same fraction of every class."""
+    return sm.ordered_split(corpus(spark, sf).select("doc_id", "bin_class"), SPLIT_FRACTION, "doc_id", stratify="bin_class")
 
 
 @register("l3_random_split", f"""
@@ -267,12 +298,29 @@ def j4_lexicon_joins(spark, sf):
 
 
 @register("t9_ngram_counts", f"""
-SELECT doc_id, {', '.join(f'greatest(len(tok) - {n - 1}, 0)::BIGINT AS n{n}' for n in range(1, 5))}
+SELECT doc_id, {', '.join(f"greatest(len(tok) - {n - 1}, 0)::BIGINT AS n{n}, CASE WHEN len(tok) >= {n} THEN array_to_string(tok[len(tok) - {n - 1}:len(tok)], ' ') END AS last{n}" for n in range(1, 5))}
 FROM (SELECT doc_id, {q.default_tokenizer('text')} AS tok FROM documents)
 """)
 def t9_ngram_counts(spark, sf):
+    """The n-grams of every document, by number and the last one of each length."""
     d = read_table(spark, sf, "documents").select("doc_id", tf.default_tokenizer(F.col("text")).alias("tokens"))
-    return ot.ngram_counts(d).select("doc_id", *[F.col(f"n{n}").cast("long") for n in range(1, 5)])
+    return ot.ngram_counts(d).select("doc_id", *[c for n in range(1, 5) for c in (F.col(f"n{n}").cast("long"), f"last{n}")])
+
+
+@register("t12_decode_utf8", """
+SELECT doc_id, decode(encode(text)) AS text FROM documents
+""")
+def t12_decode_utf8(spark, sf):
+    """The texts as UTF-8 bytes, decoded."""
+    d = read_table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("raw"))
+    return d.select("doc_id", tx.decode_utf8("raw").alias("text"))
+
+
+@register("t13_format3", """
+SELECT doc_id, printf('%.3f', n_chars / 1000e0) AS kilo_chars FROM documents
+""")
+def t13_format3(spark, sf):
+    return read_table(spark, sf, "documents").select("doc_id", tx.format3(F.col("n_chars") / 1000).alias("kilo_chars"))
 
 
 # --- TF-IDF -----------------------------------------------------------------------
@@ -323,42 +371,30 @@ SELECT doc_id, round(sqrt(sum((tf * idf) * (tf * idf))), 6) AS l2, round(sum(tfi
 FROM {TFIDF_SQL} w GROUP BY doc_id
 """)
 def a9_doc_norms(spark, sf):
-    w = tf.tfidf(read_table(spark, sf, "documents"))
-    return (w.groupBy("doc_id")
-             .agg(F.round(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)), 6).alias("l2"),
-                  F.round(F.sum(F.col("tfidf") * F.col("tfidf")), 6).alias("unit")))
+    n = tf.doc_norms(tf.tfidf(read_table(spark, sf, "documents")))
+    return n.select("doc_id", F.round("l2", 6).alias("l2"), F.round("unit", 6).alias("unit"))
 
 
-# --- flagship: balanced sample -> clean -> words -> unigram tf-idf -> top terms per class
+# --- flagship: labelled corpus -> clean -> words -> unigram tf-idf -> top terms per class
 def top_terms(spark: SparkSession, sf: str) -> DataFrame:
-    s = sm.balanced_sample(corpus(spark, sf), "bin_class", BALANCED_N)
-    # the sample has at most BALANCED_N rows per class and is read four times below
-    docs = s.select("doc_id", "bin_class", "text").persist()
-    w = tf.tfidf(docs.select("doc_id", "text"), tokenizer=lambda c: tx.word_tokens(tx.preprocess(c)),
-                 n_min=1, n_max=1)
+    from pyspark.sql import Window
+
+    docs = corpus(spark, sf).select("doc_id", "bin_class", "text")
+    w = tf.tfidf(docs.select("doc_id", "text"), tokenizer=lambda c: tx.word_tokens(tx.preprocess(c)), n_min=1, n_max=1)
     per_class = (w.join(docs.select("doc_id", "bin_class"), "doc_id")
                   .groupBy("bin_class", "term").agg(F.round(F.sum("tfidf"), 6).alias("score")))
-    from pyspark.sql import Window
     r = F.row_number().over(Window.partitionBy("bin_class").orderBy(F.desc("score"), F.asc("term")))
     return per_class.withColumn("rank", r).where(F.col("rank") <= TOP_K)
 
 
 register("flagship_top_terms", f"""
-SELECT * FROM (
-  SELECT bin_class, term, score, row_number() OVER (PARTITION BY bin_class ORDER BY score DESC, term) AS rank
-  FROM (SELECT s.bin_class, w.term, round(sum(w.tfidf), 6) AS score
-        FROM (SELECT doc_id, term, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY doc_id)) AS tfidf
-              FROM (SELECT t.doc_id, t.term, t.tf,
-                           ln((1e0 + (SELECT count(*) FROM {W1_SQL} x)) / (1e0 + d.df)) + 1e0 AS idf
-                    FROM (SELECT doc_id, term, count(*) AS tf FROM (
-                            SELECT doc_id, unnest({q.word_tokens(q.preprocess('text'))}) AS term FROM {W1_SQL} y)
-                          GROUP BY doc_id, term) t
-                    JOIN (SELECT term, count(*) AS df FROM (
-                            SELECT DISTINCT doc_id, unnest({q.word_tokens(q.preprocess('text'))}) AS term FROM {W1_SQL} z)
-                          GROUP BY term) d USING (term))) w
-        JOIN {W1_SQL} s USING (doc_id)
-        GROUP BY s.bin_class, w.term))
-WHERE rank <= {TOP_K}
+WITH c AS MATERIALIZED (SELECT doc_id, bin_class, {q.word_tokens(q.preprocess('text'))} AS tok FROM {CORPUS_SQL} x),
+t AS (SELECT doc_id, bin_class, term, count(*) AS tf FROM (SELECT doc_id, bin_class, unnest(tok) AS term FROM c) GROUP BY ALL),
+d AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT doc_id, bin_class, term, tf * (ln((1e0 + (SELECT count(*) FROM c)) / (1e0 + df)) + 1e0) AS w FROM t JOIN d USING (term)),
+n AS (SELECT bin_class, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM w),
+s AS (SELECT bin_class, term, round(sum(tfidf), 6) AS score FROM n GROUP BY bin_class, term)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY bin_class ORDER BY score DESC, term) AS rank FROM s) WHERE rank <= {TOP_K}
 """)(top_terms)
 
 
@@ -407,16 +443,34 @@ def m6_confusion_matrix(spark, sf):
     return mt.confusion_matrix(rule_predictions(spark, sf), by=["model"])
 
 
+CORPUS_A, CORPUS_B = "en", "fr"  # S2: the second corpus is another language
+
+
+@register("a1_second_corpus_counts", f"""
+SELECT bin_class, count(*) AS n FROM {CORPUS_SQL} c WHERE lang = '{CORPUS_B}' GROUP BY bin_class
+""")
+def a1_second_corpus_counts(spark, sf):
+    """S2 + A1: class counts of the second corpus."""
+    return corpus(spark, sf).where(F.col("lang") == CORPUS_B).groupBy("bin_class").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("m7_transfer_evaluation", f"""
-WITH r AS (SELECT * FROM {RULES_SQL} x),
-     h AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {HEAD_N}),
-     s AS (SELECT *, 'all' AS slice FROM r UNION ALL SELECT r.*, 'head' AS slice FROM r JOIN h USING (doc_id))
+WITH c AS (SELECT * FROM {CORPUS_SQL} x),
+     rule AS (SELECT 'mean_length' AS model, avg(n_chars) AS t FROM c WHERE lang = '{CORPUS_A}' AND bin_class = 1
+              UNION ALL SELECT 'half_mean_length', avg(n_chars) / 2 FROM c WHERE lang = '{CORPUS_A}' AND bin_class = 1),
+     b AS (SELECT doc_id, bin_class AS label, n_chars, row_number() OVER (ORDER BY doc_id) <= {HEAD_N} AS head FROM c WHERE lang = '{CORPUS_B}'),
+     r AS (SELECT model, label, CASE WHEN n_chars > t THEN 1 ELSE 0 END AS prediction, head FROM b, rule),
+     s AS (SELECT model, 'all' AS slice, label, prediction FROM r UNION ALL SELECT model, 'head', label, prediction FROM r WHERE head)
 SELECT model, slice, tp, fp, fn, tn, n, {METRICS_SQL} FROM (SELECT model, slice, {COUNTS_SQL} FROM s GROUP BY model, slice)
 """)
 def m7_transfer_evaluation(spark, sf):
-    scored = rule_predictions(spark, sf)
-    head = sm.head(read_table(spark, sf, "documents").select("doc_id"), HEAD_N)
-    return mt.transfer_evaluation(scored, {"head": head})
+    """M7: length rules fitted on corpus A, evaluated on all of corpus B and on its head."""
+    c = corpus(spark, sf)
+    mean = c.where((F.col("lang") == CORPUS_A) & (F.col("bin_class") == 1)).agg(F.avg("n_chars")).scalar()
+    b = c.where(F.col("lang") == CORPUS_B).select("doc_id", F.col("bin_class").alias("label"), "n_chars")
+    scored = sm.stack(*[b.select(F.lit(name).alias("model"), "doc_id", "label", F.when(F.col("n_chars") > mean / k, 1).otherwise(0).alias("prediction"))
+                        for name, k in (("mean_length", 1), ("half_mean_length", 2))])
+    return mt.transfer_evaluation(scored, {"head": sm.head(b.select("doc_id"), HEAD_N)})
 
 
 @register("m8_cv_summary", f"""
@@ -521,8 +575,8 @@ def _encoded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 WORDS_SQL = f"(SELECT doc_id, {q.word_tokens(q.preprocess('text'))} AS tok FROM documents)"
-VOCAB_SQL = f"(SELECT token, (row_number() OVER (ORDER BY token) - 1 + 4)::INTEGER AS id FROM (SELECT DISTINCT unnest(tok) AS token FROM {WORDS_SQL} w))"
-ENCODED_SQL = f"""(SELECT w.doc_id, list_concat([2], coalesce(e.ids, []::INTEGER[]), [3]) AS ids FROM {WORDS_SQL} w LEFT JOIN (
+VOCAB_SQL = f"(SELECT token, (row_number() OVER (ORDER BY token) - 1 + 4) AS id FROM (SELECT DISTINCT unnest(tok) AS token FROM {WORDS_SQL} w))"
+ENCODED_SQL = f"""(SELECT w.doc_id, list_concat([2], coalesce(e.ids, []::BIGINT[]), [3]) AS ids FROM {WORDS_SQL} w LEFT JOIN (
     SELECT doc_id, list(id ORDER BY pos) AS ids FROM (
       SELECT x.doc_id, x.pos, coalesce(v.id, 1) AS id FROM (
         SELECT doc_id, unnest(range(len(tok))) AS pos, unnest(tok) AS token FROM {WORDS_SQL} w2) x
@@ -546,19 +600,32 @@ def e3_e7_fixed_length_examples(spark, sf):
                                 for c in ("input_ids", "token_type_ids", "attention_mask")], "label")
 
 
+@register("e7_encode_limit", f"""
+SELECT doc_id, array_to_string(p, ' ') AS input_ids, list_sum(list_transform(p, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END))::BIGINT AS n_real, label
+FROM (SELECT e.doc_id, l.toxic::INTEGER AS label,
+        list_concat(CASE WHEN len(e.ids) > 64 THEN list_concat(e.ids[1:63], [e.ids[-1]]) ELSE e.ids END,
+                    list_transform(range(greatest(64 - len(e.ids), 0)), lambda i: 0)) AS p
+      FROM {ENCODED_SQL} e JOIN (SELECT * FROM labels ORDER BY doc_id LIMIT {HEAD_N}) l USING (doc_id))
+""")
+def e7_encode_limit(spark, sf):
+    """E7 with its limit argument: the first HEAD_N labelled rows, texts given as bytes."""
+    rows = labelled_corpus(spark, sf).select("doc_id", F.encode("text", "UTF-8").alias("text"), F.col("toxic").alias("label"))
+    ex = en.encode_examples(rows, en.word_vocabulary(_words(spark, sf)), limit=HEAD_N, max_len=64)
+    ids = F.col("features.input_ids")
+    return ex.select("doc_id", tx.join_tokens(F.transform(ids, lambda x: x.cast("string"))).alias("input_ids"),
+                     F.aggregate("features.attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_real"), "label")
+
+
 @register("e1_e2_e4_pad_to_longest", f"""
-SELECT doc_id, len(p)::BIGINT AS padded_len, list_sum(list_transform(p, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END))::BIGINT AS n_real,
-       list_sum(p)::BIGINT AS id_sum, array_to_string(ids, ' ') AS input_ids
-FROM (SELECT doc_id, ids, list_concat(ids, list_transform(range((SELECT max(len(ids)) FROM {ENCODED_SQL} m) - len(ids)), lambda i: 0)) AS p
-      FROM {ENCODED_SQL} e)
+SELECT doc_id, (SELECT max(len(ids)) FROM {ENCODED_SQL} m)::BIGINT AS padded_len, len(ids)::BIGINT AS n_real,
+       list_sum(ids)::BIGINT AS id_sum, array_to_string(ids, ' ') AS input_ids
+FROM {ENCODED_SQL} e
 """)
 def e1_e2_e4_pad_to_longest(spark, sf):
-    """E1 whole-word ids, E2 pad to the corpus maximum (A5), E4 mask; full id list kept as text."""
-    p = en.pad_to_longest(_encoded(spark, sf), "input_ids", "padded")
-    mask = ar.attention_mask("padded")
-    return p.select("doc_id", F.size("padded").cast("long").alias("padded_len"),
-                    F.aggregate(mask, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_real"),
-                    F.aggregate("padded", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
+    """E1 whole-word ids, A5 longest row, E4 real positions; the padding itself is left to the model boundary."""
+    p = en.padded_width(src.shared(_encoded(spark, sf), "encoded"))
+    return p.select("doc_id", F.col("padded_len").cast("long").alias("padded_len"), F.col("n_real").cast("long").alias("n_real"),
+                    F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
                     tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
 
 
@@ -604,30 +671,34 @@ def s8_confusion_sink(spark, sf):
 
 
 @register("t11_sparse_vectors", f"""
-SELECT doc_id, count(*)::INTEGER AS nnz, (SELECT count(*) FROM {DF_SQL} d)::INTEGER AS size,
-       round(sum(tfidf * tfidf), 6) AS sq_norm
-FROM {TFIDF_SQL} w GROUP BY doc_id
+WITH w AS (SELECT doc_id, count(*)::BIGINT AS nnz, sum(tfidf * tfidf) AS sq FROM {TFIDF_SQL} w GROUP BY doc_id)
+SELECT doc_id, coalesce(nnz, 0)::BIGINT AS nnz, (SELECT count(*) FROM {DF_SQL} d)::BIGINT AS size, round(coalesce(sq, 0e0), 6) AS sq_norm
+FROM documents LEFT JOIN w USING (doc_id)
 """)
 def t11_sparse_vectors(spark, sf):
-    """Documents as ML sparse vectors over the sorted vocabulary (checked by size, nnz, norm)."""
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
+    """One sparse vector per document over the sorted vocabulary (checked by size, nnz, norm)."""
     d = read_table(spark, sf, "documents")
-    w = tf.tfidf(d)
-    vocab = tf.vocabulary(w)
-    v = tf.sparse_vectors(w, vocab)
+    freq = src.shared(tf.term_frequency(d), "tf")
+    dfreq = src.shared(tf.document_frequency(freq), "df")
+    w = tf.weights(freq, dfreq, d.select(F.count(F.lit(1)).cast("double")).scalar())
+    vocab = src.shared(tf.vocabulary(dfreq), "vocabulary")
+    v = tf.sparse_arrays(w, vocab, d)
+    return v.select("doc_id", F.size("indices").cast("long").alias("nnz"), "size",
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
 
-    @F.udf("struct<nnz:int,size:int,sq:double>")
-    def shape(vec):
-        return (int(vec.numNonzeros()), int(vec.size), float(vec.dot(vec)))
 
-    s = v.select("doc_id", shape("features").alias("s"))
-    return s.select("doc_id", F.col("s.nnz").alias("nnz"), F.col("s.size").alias("size"),
-                    F.round("s.sq", 6).alias("sq_norm"))
-
-
-# --- 2.10 models (rows-only: tree and neural fits have no SQL twin) ---------------------------
+# --- 2.10 models: what SQL can say of a fit is checked against it (keys, labels, drawn and fitted parameters, counts) ----
 from ..operators import models as md  # noqa: E402
 from ..sources.models import load_model, save_model  # noqa: E402
+from . import flows  # noqa: E402
+
+# Search spaces of the registered queries. The reference's own (FOREST_SPACE, GBT_SPACE) draw up to 5000 trees a trial;
+# a caller who wants them passes them. What is drawn here is what is fitted.
+SMALL_FOREST = {"n_estimators": se.Grid(5, 24, 20), "max_features": se.FOREST_SPACE["max_features"], "max_depth": se.Grid(3, 12, 10, none=True),
+                "min_samples_leaf": se.Grid(1, 10, 10), "bootstrap": se.FOREST_SPACE["bootstrap"]}
+SMALL_BOOSTED = {"n_estimators": se.Grid(3, 8, 6), "learning_rate": se.Grid(0.05, 0.5, 10, integer=False), "max_depth": se.Grid(2, 5, 4),
+                 "min_child_weight": se.Grid(1, 5, 5)}
+TRIALS = 5
 
 
 def embedding_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -641,57 +712,135 @@ def _split(spark, sf):
     return f.where("slice = 'train'").drop("slice"), f.where("slice = 'test'").drop("slice")
 
 
-@register("r3_r4_forest_predictions")
+_SLICE = f"CASE WHEN substr(md5({{}}::VARCHAR || '-{SEED}'), 1, 8) < '{int(TEST_FRACTION * (1 << 32)):08x}' THEN 'test' ELSE 'train' END"
+EMBEDDED_SQL = f"(SELECT vec_id, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label, {_SLICE.format('vec_id')} AS slice FROM embeddings)"
+
+
+def _sound(model, test: DataFrame, key: str) -> DataFrame:
+    """(key, label, scored): whether each prediction is a class that agrees with its score."""
+    p = md.predict(model, test, key)
+    agrees = (F.abs(F.col("score") - 0.5) < 1e-9) | ((F.col("score") > 0.5).cast("int") == F.col("prediction"))
+    return p.select(key, "label", (F.col("prediction").isin(0, 1) & F.col("score").between(0, 1) & agrees).alias("scored"))
+
+
+def _fit_sql(trees: int, depth: int) -> str:
+    return f"SELECT vec_id, label, true AS scored, {trees} AS n_trees, {depth} AS max_depth FROM {EMBEDDED_SQL} e WHERE slice = 'test'"
+
+
+def _with_shape(df: DataFrame, model) -> DataFrame:
+    trees, depth = md.fitted_shape(model)
+    return df.withColumns({"n_trees": F.lit(trees), "max_depth": F.lit(depth)})
+
+
+@register("r3_r4_forest_predictions", _fit_sql(500, 30))
 def r3_r4_forest_predictions(spark, sf):
+    """R3 with the reference's 500 trees and depth 100 (Spark's limit: 30), R4 on the test part."""
     train, test = _split(spark, sf)
-    return md.predict(md.fit(md.forest({"n_estimators": 20, "max_depth": 5}), train), test, "vec_id")
+    model = md.fit(md.forest({"n_estimators": 500, "max_depth": 100}), train)
+    return _with_shape(_sound(model, test, "vec_id"), model)
 
 
-@register("r8_boosted_predictions")
+@register("r8_boosted_predictions", _fit_sql(100, 6))
 def r8_boosted_predictions(spark, sf):
+    """R8 with the booster's default 100 rounds and depth 6."""
     train, test = _split(spark, sf)
-    return md.predict(md.fit(md.boosted({"max_depth": 3}, md.Caps(max_iter=10)), train), test, "vec_id")
+    model = md.fit(md.boosted(), src.shared(train, "boosted-train"))
+    return _with_shape(_sound(model, test, "vec_id"), model)
 
 
-@register("r9_neural_head_predictions")
+@register("r9_neural_head_predictions", f"SELECT vec_id, label, true AS scored FROM {EMBEDDED_SQL} e WHERE slice = 'test'")
 def r9_neural_head_predictions(spark, sf):
     train, test = _split(spark, sf)
     width = read_table(spark, sf, "embeddings").select(F.max(F.size("embedding"))).first()[0]
-    return md.predict(md.fit(md.neural_head(int(width), max_iter=30), train), test, "vec_id")
+    return _sound(md.fit(md.neural_head(int(width)), train), test, "vec_id")
+
+
+def _drawn_sql(space: dict, trials: int) -> str:
+    draws = ", ".join(_sql_draw(n, p).replace("iter::VARCHAR", "range::VARCHAR") for n, p in space.items())
+    return f"(SELECT range AS iter, * EXCLUDE (range) FROM (SELECT range, {draws} FROM range({trials})))"
+
 
+_FITTED = "coalesce(n_estimators, 100)::INTEGER AS fitted_trees, coalesce(least(max_depth, 30), 30)::INTEGER AS fitted_depth"
 
-@register("r5_r7_holdout_search")
+
+@register("r5_r7_holdout_search", f"""
+SELECT d.*, {_FITTED}, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'test') AS n_scored FROM {_drawn_sql(SMALL_FOREST, TRIALS)} d
+""")
 def r5_r7_holdout_search(spark, sf):
+    """R5 + R7: the log's drawn and fitted parameters agree; five trials cannot reach the early stop."""
     train, test = _split(spark, sf)
-    _, log = md.holdout_search(spark, train, test, "vec_id", n_iter=5, caps=md.Caps(max_trees=10, max_depth=5))
-    return log
+    _, log = md.holdout_search(spark, train, test, "vec_id", n_iter=TRIALS, space=SMALL_FOREST)
+    return log.select("iter", *SMALL_FOREST, "fitted_trees", "fitted_depth", "n_scored")
 
 
-@register("r6_m8_cv_search")
+@register("r6_m8_cv_search", f"""
+SELECT d.*, {_FITTED}, {FOLDS} AS n_folds, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'train') AS n_scored,
+       true AS by_both FROM {_drawn_sql(SMALL_FOREST, TRIALS)} d
+""")
 def r6_m8_cv_search(spark, sf):
+    """R6 + M8: every row of the training part is scored once per trial; accuracy and F1 are both given."""
     train, _ = _split(spark, sf)
     folds = sm.stratified_folds(train, "label", FOLDS, key="vec_id")
-    _, summary = md.cv_search(spark, folds, n_iter=3, caps=md.Caps(max_trees=5, max_depth=4))
-    return summary
+    _, log = md.cv_search(spark, folds, n_iter=TRIALS, space=SMALL_FOREST, key="vec_id")
+    both = F.col("mean_accuracy").between(0, 1) & F.col("mean_f1").between(0, 1)
+    return log.select("iter", *SMALL_FOREST, "fitted_trees", "fitted_depth", "n_folds", "n_scored", both.alias("by_both"))
 
 
-@register("s6_s7_j2_model_roundtrip")
+@register("s6_s7_j2_model_roundtrip", f"SELECT vec_id, label, true AS same FROM {EMBEDDED_SQL} e WHERE slice = 'test'")
 def s6_s7_j2_model_roundtrip(spark, sf):
     """S6 save, S7 load, J2 keyed join of both predictions: every row must agree."""
     train, test = _split(spark, sf)
-    model = md.fit(md.forest({"n_estimators": 10, "max_depth": 4}), train)
+    model = md.fit(md.forest(), train)
     path = save_model(model, scratch_path(spark, "forest-model"))
     a = md.predict(model, test, "vec_id")
-    b = md.predict(load_model(path), test, "vec_id").select("vec_id", F.col("prediction").alias("reloaded"))
-    return a.join(b, "vec_id").withColumn("same", F.col("prediction") == F.col("reloaded"))
+    b = md.predict(load_model(path), test, "vec_id").select("vec_id", F.col("prediction").alias("p2"), F.col("score").alias("s2"))
+    return a.join(b, "vec_id").select("vec_id", "label", ((F.col("prediction") == F.col("p2")) & (F.col("score") == F.col("s2"))).alias("same"))
 
 
-@register("m7_model_transfer")
+TRANSFER_SQL = f"""WITH c AS (SELECT e.vec_id, e.label, d.lang FROM {EMBEDDED_SQL} e JOIN documents d ON d.doc_id = e.vec_id WHERE d.lang = '{CORPUS_B}'),
+     h AS (SELECT *, row_number() OVER (ORDER BY vec_id) <= {HEAD_N} AS head FROM c)
+SELECT model, slice, count(*) AS n, count_if(label = 1) AS n_positive
+FROM (SELECT 'all' AS slice, label FROM h UNION ALL SELECT 'head', label FROM h WHERE head), (SELECT unnest(['forest', 'boosted']) AS model)
+GROUP BY model, slice"""
+
+
+def _transfer_counts(t: DataFrame) -> DataFrame:
+    return t.select("model", "slice", "n", (F.col("tp") + F.col("fn")).alias("n_positive"))
+
+
+def _two_corpora(spark: SparkSession, sf: str):
+    """Feature frames of corpus A and B: embeddings whose document of the same number is in that language."""
+    lang = read_table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "lang")
+    f = embedding_features(spark, sf).drop("slice").join(lang, "vec_id")
+    return f.where(F.col("lang") == CORPUS_A).drop("lang"), f.where(F.col("lang") == CORPUS_B).drop("lang")
+
+
+@register("m7_model_transfer", TRANSFER_SQL)
 def m7_model_transfer(spark, sf):
-    """M7 with fitted models: forest and boosted trees scored on the whole test part and its head."""
-    train, test = _split(spark, sf)
-    preds = sm.stack(
-        md.predict(md.fit(md.forest({"n_estimators": 10, "max_depth": 4}), train), test, "vec_id").withColumn("model", F.lit("forest")),
-        md.predict(md.fit(md.boosted({"max_depth": 3}, md.Caps(max_iter=5)), train), test, "vec_id").withColumn("model", F.lit("boosted")))
-    head = sm.head(test.select("vec_id"), HEAD_N, key="vec_id")
-    return mt.transfer_evaluation(preds, {"head": head}, key="vec_id")
+    """M7 with models fitted on corpus A: forest and boosted trees on all of corpus B and its head."""
+    a, b = (src.shared(x, "transfer") for x in _two_corpora(spark, sf))
+    models = {"forest": md.fit(md.forest(), a), "boosted": md.fit(md.boosted({"n_estimators": 20, "max_depth": 3}), a)}
+    preds = sm.stack(*[md.predict(m, b, "vec_id").withColumn("model", F.lit(k)) for k, m in models.items()])
+    return _transfer_counts(mt.transfer_evaluation(preds, {"head": sm.head(b.select("vec_id"), HEAD_N, key="vec_id")}, key="vec_id"))
+
+
+@register("flow_tfidf_classification", f"""
+SELECT doc_id, bin_class AS label, true AS forest_scored, true AS boosted_scored FROM {CORPUS_SQL} c WHERE {_SLICE.format('doc_id')} = 'test'
+""")
+def flow_tfidf_classification(spark, sf):
+    """The reference's main pipeline: TF-IDF, split, forest search, metrics, boosted search; every test row is scored by both."""
+    r = flows.tfidf_classification(spark, labelled_corpus(spark, sf), ["toxic"], min_df=5, n_iter=TRIALS, seed=SEED,
+                                   space=SMALL_FOREST, boosted_space=SMALL_BOOSTED)
+    ok = F.col("prediction").isin(0, 1) & F.col("score").between(0, 1)
+    a = r["predictions"].select("doc_id", "label", ok.alias("forest_scored"))
+    return a.join(r["boosted_predictions"].select("doc_id", ok.alias("boosted_scored")), "doc_id")
+
+
+@register("flow_embedding_transfer", TRANSFER_SQL)
+def flow_embedding_transfer(spark, sf):
+    """The reference's second pipeline: k-fold searches on a balanced sample of corpus A, transfer to corpus B and its head."""
+    a, b = _two_corpora(spark, sf)
+    r = flows.embedding_transfer(spark, a.select("vec_id", F.col("label").alias("vote")), a.drop("label"), ["vote"], b, b.drop("label"), "label",
+                                 key="vec_id", n=100, holdout_start=101, holdout_n=20, head_n=HEAD_N, n_iter=2, seed=SEED,
+                                 space=SMALL_FOREST, boosted_space=SMALL_BOOSTED)
+    return _transfer_counts(r["transfer"])

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -38,12 +37,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a fresh folder is made
-    under the system temp dir and registered as the checkpoint dir.
+    Only a local session without one gets a fresh folder under the system
+    temp dir, registered as the checkpoint dir. On a cluster each machine
+    would write to its own disk there, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="lexicarve-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -62,8 +65,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: evaluated once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "shuffle_partitions", "local_path", "os"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "shuffle_partitions", "shared"]

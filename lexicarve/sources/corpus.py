@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import any_vote
+from ..session import shared
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -18,26 +19,8 @@ VOTE_COLUMNS = ("toxic", "quality")
 CLASS_VOTES = ("toxic",)
 
 
-# Text tables and their keys: per-row text work is CPU-bound, so these are
-# spread over the cluster when the scan itself yields too few partitions.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id",
-                   "benchmark": "item_id"}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition by ``key`` only when the input has fewer partitions than the
-    default parallelism (e.g. a single large row group). A wide scan - the
-    normal case on a cluster - is left as it is, with no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,15 +52,23 @@ def read_labelled_csv(spark: SparkSession, path: str, schema: T.StructType | Non
                       key: str = "doc_id") -> DataFrame:
     """Labelled text CSV (header; text may hold quoted commas and newlines).
 
-    With an explicit schema nothing is inferred. When the file carries no
-    key column, ``key`` is derived from file position: it increases with
-    the row's place in the file, which is all positional slicing needs.
+    A file with line breaks inside quotes cannot be split, so one file is
+    one task: give a large corpus as many files. With an explicit schema
+    nothing is inferred. When the files carry no key column, ``key`` is
+    (rank of the file path, position within the file) in one long, written
+    once to the shared folder, so later reads agree on it and it does not
+    depend on how files are packed into tasks.
     """
     r = spark.read.options(**CSV_OPTIONS)
     df = r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
-    if key not in df.columns:
-        df = df.withColumn(key, F.monotonically_increasing_id())
-    return df
+    if key in df.columns:
+        return df
+    # within a partition ids grow with the position, and a file is never cut: the smallest id of a file is its start
+    placed = shared(df.select("*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id")), "csv-rows")
+    files = placed.groupBy("_path").agg(F.min("_id").alias("_start"))  # one row per file
+    files = files.withColumn("_file", F.row_number().over(Window.orderBy("_path")) - 1)
+    out = placed.join(files, "_path")
+    return out.select(F.expr("shiftleft(cast(_file as bigint), 40) + (_id - _start)").alias(key), *df.columns).select(*df.columns, key)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -23,11 +23,6 @@ def clean_text_stream(spark: SparkSession, source_dir: str, schema: T.StructType
     return s.withColumn("clean", tx.preprocess(text)).withColumn("tokens", tx.word_tokens("clean"))
 
 
-def score_stream(model, stream: DataFrame) -> DataFrame:
-    """Apply a fitted row-wise ``PipelineModel`` to a stream."""
-    return model.transform(stream)
-
-
 def write_parquet_stream(df: DataFrame, sink_dir: str, checkpoint: str | None = None,
                          available_now: bool = True) -> StreamingQuery:
     """Parquet sink with its checkpoint in the shared folder (restartable after executor loss)."""
