@@ -72,12 +72,20 @@ def collect_tokens(long: DataFrame, key: str = "doc_id", out: str = "tokens") ->
                 .select(key, F.transform("_pt", lambda s: s["token"]).alias(out)))
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple[str, ...]], cols: list[str]) -> DataFrame:
+    """A table of literals. Unlike one made from Python objects its size is known, so a join can broadcast it."""
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in cols))
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(quoted, r)) + ')' for r in rows)} AS t({', '.join(cols)})")
+
+
 def word_table(spark: SparkSession, words: Iterable[str], col: str = "token") -> DataFrame:
-    return spark.createDataFrame([(w,) for w in sorted(set(words))], f"{col} string")
+    return _literal_table(spark, [(w,) for w in sorted(set(words))], [col])
 
 
 def lexicon_table(spark: SparkSession, pairs: Iterable[tuple[str, str]] | None = None) -> DataFrame:
-    return spark.createDataFrame(list(LEMMAS if pairs is None else pairs), "token string, lemma string")
+    return _literal_table(spark, list(LEMMAS if pairs is None else pairs), ["token", "lemma"])
 
 
 def drop_stop_words_table(long: DataFrame, stop: DataFrame) -> DataFrame:

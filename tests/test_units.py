@@ -80,10 +80,10 @@ def test_positional_index_matches_row_number(spark):
     rows = [(i, rnd.choice([0, 0, 0, 1, 2])) for i in ids]
     df = spark.createDataFrame(rows, "doc_id long, g int")
     want = df.withColumn("want", F.row_number().over(Window.partitionBy("g").orderBy("doc_id")))
-    got = ps.positional_index(want, "doc_id", ["g"], width=4096)
+    got = ps.positional_index(want, "doc_id", ["g"], cuts=50)
     assert got.where(F.col("rn") != F.col("want")).count() == 0
     # global sorted index equals a global row_number - 1
-    gi = ps.sorted_index(df, ["g", "doc_id"], num_partitions=5)
+    gi = ps.sorted_index(df, ["g", "doc_id"], cuts=7)
     w = gi.withColumn("want", F.row_number().over(Window.orderBy("g", "doc_id")) - 1)
     assert w.where(F.col("idx") != F.col("want")).count() == 0
 
@@ -91,7 +91,7 @@ def test_positional_index_matches_row_number(spark):
 def test_folds_equal_ntile(spark):
     rows = [(i, i % 3) for i in range(1, 403)]
     df = spark.createDataFrame(rows, "doc_id long, bin_class int")
-    got = sm.stratified_folds(df, "bin_class", 5, width=16)
+    got = sm.stratified_folds(df, "bin_class", 5)
     want = got.withColumn("want", F.ntile(5).over(Window.partitionBy("bin_class").orderBy("doc_id")) - 1)
     assert want.where(F.col("fold") != F.col("want")).count() == 0
 
@@ -220,8 +220,118 @@ def test_streaming_clean_text(spark, tmp_path):
     assert row["clean"] == "ola mundo" and row["tokens"] == ["ola", "mundo"]
 
 
-def test_flows_run_small(spark):
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def hashed_frame(spark, n):
+    """Sparse signed 64-bit keys, a null class, and a payload."""
+    return spark.range(n).select(F.xxhash64("id").alias("doc_id"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 3).cast("int").alias("c"),
+                                 F.concat(F.lit("payload-"), F.col("id")).alias("payload"))
+
+
+def test_sorted_index_of_a_wide_frame(spark):
+    df = hashed_frame(spark, 1_100_000)
+    before = jobs(spark)
+    out = sm.reset_index(df, ["doc_id"], name="i")
+    assert jobs(spark) == before
+    r = out.agg(F.countDistinct("i").alias("d"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.countDistinct("payload").alias("p")).first()
+    assert (r["d"], r["lo"], r["hi"], r["p"]) == (1_100_000, 0, 1_099_999, 1_100_000)
+
+
+def test_positions_define_no_job_and_keep_null_classes(spark):
+    df = hashed_frame(spark, 5000)
+    before = jobs(spark)
+    frames = [sm.balanced_sample(df, "c", 20), sm.holdout(df, "c", 20, 10), sm.head(df, 5), sm.stratified_folds(df, "c", 5),
+              sm.ordered_split(df, 0.85, ["c", "doc_id"]), sm.shuffle_order(df)]
+    assert jobs(spark) == before
+    rn = F.row_number().over(Window.partitionBy("c").orderBy("doc_id"))
+    want = df.withColumn("rn", rn)
+    assert frames[0].exceptAll(want.where("rn <= 20").drop("rn")).count() == 0 and frames[0].count() == 80
+    assert frames[1].exceptAll(want.where("rn > 20 and rn <= 30").drop("rn")).count() == 0 and frames[1].count() == 40
+    folds = frames[3].withColumn("w", F.ntile(5).over(Window.partitionBy("c").orderBy("doc_id")) - 1)
+    assert folds.count() == 5000 and folds.where("fold <> w").count() == 0
+    stacked = frames[4].withColumn("r", F.row_number().over(Window.orderBy("c", "doc_id")))
+    assert stacked.where((F.col("slice") == "train") != (F.col("r") <= 4250)).count() == 0
+    even = sm.ordered_split(df, 0.85, "doc_id", stratify="c").withColumn("r", rn).withColumn("n", F.count("*").over(Window.partitionBy("c")))
+    assert even.where((F.col("slice") == "train") != (F.col("r") <= F.floor(F.col("n") * 0.85))).count() == 0
+    assert sorted(r["shuffle_rn"] for r in frames[5].select("shuffle_rn").collect()) == list(range(1, 5001))
+    empty = df.limit(0)
+    assert sm.balanced_sample(empty, "c", 3).count() == sm.reset_index(empty, ["doc_id"]).count() == sm.ordered_split(empty).count() == 0
+
+
+def test_fractional_votes_pass_through(spark):
+    df = spark.createDataFrame([(-0.5, 0.0), (0.2, 0.1), (0.0, None)], "a double, `b c` double")
+    assert lb.positional_votes(["text", "a", "b c", "doc_id"], key="doc_id") == ["a", "b c"]
+    assert [r[0] for r in df.select(lb.any_vote(["a", "`b c`"])).collect()] == [-0.5, 1.0, 0.0]
+
+
+def test_folding_of_decomposed_and_other_letters(spark):
+    df = spark.createDataFrame([("ac\u0327a\u0303o \u1ebf \u201cq\u201d \u2026 \u2014 \u65e5x",)], "t string")
+    assert df.select(tx.fold_accents("t")).first()[0] == 'acao e "q" ... -- x'
+    assert df.select(tx.fold_accents(F.lit("plain ascii"))).first()[0] == "plain ascii"
+
+
+def test_hot_term_is_split(spark):
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+                                           "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(keep, ("-1", "8k", "16k", "1.5", "false")):
+            spark.conf.set(k, v)
+        docs = spark.range(30_000).select(F.xxhash64("id").alias("doc_id"), F.concat(F.lit("hot x"), F.col("id")).alias("text")).repartition(16)
+        w = tf.tfidf(docs, tokenizer=lambda c: F.split(c, " "), n_min=1, n_max=1)
+        w.write.format("noop").mode("overwrite").save()
+        joined = w.select("doc_id", "term", "df")
+        rows = joined.where("term = 'hot'").collect()
+        assert len(rows) == 30_000 and {r["df"] for r in rows} == {30_000}
+        q = w.groupBy().agg(F.sum("tfidf"))
+        q.collect()
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and plan.count("Generate") == 0
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_sparse_vectors_keep_empty_documents(spark):
+    df = spark.createDataFrame([(1, "um dois um"), (2, ""), (3, None)], "doc_id long, text string")
+    w = tf.tfidf(df, tokenizer=lambda c: tx.word_tokens(tx.preprocess(c)))
+    arrays = tf.sparse_arrays(w, tf.vocabulary(w), df)
+    plan = arrays._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    vecs = {r["doc_id"]: r["features"] for r in tf.sparse_vectors(arrays).collect()}
+    assert set(vecs) == {1, 2, 3} and {v.size for v in vecs.values()} == {vecs[1].size}
+    assert vecs[2].numNonzeros() == vecs[3].numNonzeros() == 0 and math.isclose(vecs[1].norm(2), 1.0)
+
+
+def test_encode_examples_limit_and_bytes(spark):
+    df = spark.createDataFrame([(3, bytearray("c a".encode()), 1), (1, bytearray("a b".encode()), 0), (2, None, 1)], "doc_id long, text binary, label int")
+    v = en.word_vocabulary(df.select("doc_id", tx.word_tokens(tx.preprocess(tx.decode_utf8("text"))).alias("tokens")))
+    got = {r["doc_id"]: r["features"]["input_ids"] for r in en.encode_examples(df, v, limit=2, max_len=4).collect()}
+    assert got == {1: [2, 4, 5, 3], 2: [2, 3, 0, 0]}
+    assert en.encode_examples(df, v).count() == 3
+
+
+def test_search_fits_what_it_draws(spark):
     from lexicarve.operators import models as md
+    from pyspark.ml.functions import array_to_vector
+    rows = [(i, [float(i % 7), float(i % 2)], float(i % 2)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, v array<double>, label double").select("doc_id", array_to_vector("v").alias("features"), "label")
+    space = {"n_estimators": se.Grid(2, 6, 5), "max_depth": se.Grid(2, 40, 3, none=True), "bootstrap": se.Choice((True, False))}
+    model, log = md.holdout_search(spark, df, df, "doc_id", n_iter=3, space=space)
+    for r in log.collect():
+        assert r["fitted_trees"] == r["n_estimators"] and r["fitted_depth"] == md.tree_depth(r["max_depth"]) and r["n_scored"] == 80
+    assert log.where("best").count() == 1
+    best = log.where("best").first()
+    assert md.fitted_shape(model) == (best["fitted_trees"], best["fitted_depth"])
+    folds = sm.stratified_folds(df, "label", 4)
+    _, cv = md.cv_search(spark, folds, n_iter=2, space=space, k=4)
+    assert [(r["n_folds"], r["n_scored"]) for r in cv.collect()] == [(4, 80)] * 2
+    assert md.forest({"n_estimators": 700}).getNumTrees() == 700
+
+
+def test_flows_run_small(spark):
     from lexicarve.plans import flows
     from lexicarve.sources.corpus import labelled_corpus
     c = labelled_corpus(spark, "/root/testdata/sf0.001")
@@ -229,10 +339,11 @@ def test_flows_run_small(spark):
     tr = out["train"].collect()
     assert tr and all(len(r["features"]["input_ids"]) == 32 for r in tr)
     assert max(r["batch"] for r in tr) == (len(tr) - 1) // 4
-    res = flows.tfidf_classification(spark, c, ["toxic"], n_min=1, n_max=2, min_df=2, n_iter=2,
-                                     caps=md.Caps(max_trees=3, max_depth=3, max_iter=3), with_boosted=False)
-    cm = res["confusion"].collect()
-    assert sum(r["n"] for r in cm) == res["predictions"].count()
+    # rare terms are dropped, documents are not
+    space = {"n_estimators": se.Grid(2, 3, 2), "max_depth": se.Grid(2, 3, 2)}
+    res = flows.tfidf_classification(spark, c, ["toxic"], n_min=1, n_max=2, min_df=40, n_iter=2, space=space, boosted_space=space)
+    assert res["features"].count() == c.count()
+    assert sum(r["n"] for r in res["confusion"].collect()) == res["predictions"].count() == res["boosted_predictions"].count()
 
 
 def test_decode_and_format(spark):
@@ -243,7 +354,7 @@ def test_decode_and_format(spark):
 
 def test_csv_quoted_newlines_and_key(spark, tmp_path):
     from lexicarve.sources import corpus as src
-    p = tmp_path / "told.csv"
+    p = tmp_path / "labelled.csv"
     p.write_text('text,v1,v2\n"linha um, com vírgula\nsegunda linha",1,0\n"diz ""oi""",0,\n', encoding="utf-8")
     df = src.read_labelled_csv(spark, str(p), src.labelled_schema(["v1", "v2"]))
     rows = df.orderBy("doc_id").collect()
@@ -251,3 +362,22 @@ def test_csv_quoted_newlines_and_key(spark, tmp_path):
     assert rows[0]["doc_id"] < rows[1]["doc_id"]  # key follows file order
     lab = df.select(lb.any_vote(["v1", "v2"]).alias("y")).orderBy(F.monotonically_increasing_id())
     assert [r["y"] for r in lab.collect()] == [1, 0]
+
+
+def test_csv_key_of_several_files(spark, tmp_path):
+    from lexicarve.sources import corpus as src
+    for name, words in (("b.csv", ["x", "y"]), ("a.csv", ["u", "v", "w"])):
+        (tmp_path / name).write_text("text,v1\n" + "".join(f"{w},1\n" for w in words), encoding="utf-8")
+    df = src.read_labelled_csv(spark, str(tmp_path), src.labelled_schema(["v1"]))
+    keys = {r["text"]: r["doc_id"] for r in df.collect()}
+    assert sorted(keys, key=keys.get) == ["u", "v", "w", "x", "y"] and len(set(keys.values())) == 5
+    assert keys == {r["text"]: r["doc_id"] for r in df.collect()}
+    assert keys["u"] == 0 and keys["x"] == 1 << 40
+
+
+def test_no_temp_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from lexicarve.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: SimpleNamespace(get=lambda k: None), master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))
