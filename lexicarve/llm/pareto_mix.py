@@ -33,7 +33,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2
 SEED = 17
-BINS = 4096
+BINS = 1000  # per unit of log-odds, where at most a quarter of a source's documents lie
 DAMPING = 16.0  # larger: closer to equal expected copies for all lengths
 
 
@@ -76,11 +76,14 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Adds the rank value as q in [0, 1) (a monotone form of the odds ratio) and its bin."""
+    """Adds the rank value q and its bin.
+
+    Bins are even on the log scale, where an inclusion probability near 0
+    or 1 only moves the values and does not press them into one bin.
+    """
     p = F.col("copies") - F.floor("copies")
-    odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
-    q = F.when(p > 0, odds / (1 + odds))
-    return rows.withColumn("q", q).withColumn("bin", F.least(F.floor(q * BINS), F.lit(BINS - 1)).cast("int"))
+    q = F.when(p > 0, (F.col("u") / (1 - F.col("u"))) / (p / (1 - p)))
+    return rows.withColumn("q", q).withColumn("bin", F.floor(F.log("q") * BINS).cast("int"))
 
 
 class Mix:
