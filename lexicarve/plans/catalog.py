@@ -799,7 +799,7 @@ def s6_s7_j2_model_roundtrip(spark, sf):
 
 TRANSFER_SQL = f"""WITH c AS (SELECT e.vec_id, e.label, d.lang FROM {EMBEDDED_SQL} e JOIN documents d ON d.doc_id = e.vec_id WHERE d.lang = '{CORPUS_B}'),
      h AS (SELECT *, row_number() OVER (ORDER BY vec_id) <= {HEAD_N} AS head FROM c)
-SELECT model, slice, count(*) AS n, count_if(label = 1) AS n_positive
+SELECT model, slice, count(*) AS n, count_if(label = 1)::BIGINT AS n_positive
 FROM (SELECT 'all' AS slice, label FROM h UNION ALL SELECT 'head', label FROM h WHERE head), (SELECT unnest(['forest', 'boosted']) AS model)
 GROUP BY model, slice"""
 
