@@ -280,3 +280,16 @@ def test_line_recall(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     dropped = lm.dedup(df).where("n_kept = 0").count()
     assert 0.985 * pairs <= dropped <= pairs
+
+
+REPEATED = [unit * (n // len(unit) + 1) for n in (12, 128, 140, 262, 270, 300, 600)
+            for unit in ("-", "*", "=-", "+---|-", "abcdefghijklmnopqrst")]
+
+
+def test_lines_with_few_distinct_shingles_stay(spark):
+    """Long lines of one or few distinct shingles keep their first copy; near copies of them link."""
+    docs = [(i, x) for i, x in enumerate(REPEATED)] + [(1000 + i, x) for i, x in enumerate(REPEATED)]
+    got = {r["doc_id"]: r["kept"] for r in lm.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == plain_lines(docs)
+    lines, _ = lm.line_classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["line"] for r in lines.collect()} == set(REPEATED)
