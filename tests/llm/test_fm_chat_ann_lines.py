@@ -293,3 +293,23 @@ def test_lines_with_few_distinct_shingles_stay(spark):
     assert got == plain_lines(docs)
     lines, _ = lm.line_classes(spark.createDataFrame(docs, "doc_id long, text string"))
     assert {r["line"] for r in lines.collect()} == set(REPEATED)
+
+
+RECALL_LENGTHS = (16, 20, 25, 34, 52, 107, 262, 280, 304, 507)
+
+
+def test_line_recall_at_the_limit_by_length(spark):
+    """Pairs at a similarity of 0.8 or a little more share a bucket as often as independent values would, at every length."""
+    rnd = random.Random(23)
+    rows, pairs = [], defaultdict(list)
+    for n in RECALL_LENGTHS:
+        for _ in range(400):
+            a = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+            cut = (n - lm.SHINGLE + 1) // 5
+            b = a[:n - cut]
+            assert 0.8 <= (n - cut - 7) / (n - 7) < 0.9
+            pairs[n].append((len(rows), len(rows) + 1))
+            rows += [(len(rows), a, 1), (len(rows) + 1, b, 1)]
+    sig = {r["id"]: r["bands"] for r in lm.signatures(spark.createDataFrame(rows, "id long, line string, copies long")).collect()}
+    recall = {n: np.mean([any(x == y for x, y in zip(sig[a], sig[b])) for a, b in p]) for n, p in pairs.items()}
+    assert min(recall.values()) >= 0.98, recall
