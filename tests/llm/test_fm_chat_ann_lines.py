@@ -313,3 +313,17 @@ def test_line_recall_at_the_limit_by_length(spark):
     sig = {r["id"]: r["bands"] for r in lm.signatures(spark.createDataFrame(rows, "id long, line string, copies long")).collect()}
     recall = {n: np.mean([any(x == y for x, y in zip(sig[a], sig[b])) for a, b in p]) for n, p in pairs.items()}
     assert min(recall.values()) >= 0.98, recall
+
+
+def test_lines_of_rows_without_an_id(spark):
+    """A line without a keyed row stays in the first null-id row; rows of one id but different texts have their own lines."""
+    big = 2**63 - 1
+    docs = [(1, "shared line with a key\nsecond"), (big, "last key"), (-big - 1, "first key\n\nmore"), (None, "only here without an id\nshared line with a key"),
+            (None, "shared line with a key\nanother one without an id"), (None, "last key"), (None, "only here without an id\nshared line with a key"),
+            (None, None), (7, "one text of seven"), (7, "shared line with a key\nanother text, number two")]
+    want = {docs[0]: [0, 1], docs[1]: [0], docs[2]: [0, 2], docs[3]: [0], docs[4]: [1], docs[5]: [], docs[7]: [], docs[8]: [0], docs[9]: [1]}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["n_lines"], r["n_kept"], r["kept"]) for r in lm.dedup(df).collect())
+    assert got == sorted((sum(x.strip() != "" for x in (t or "").split("\n")), len(want[i, t]), want[i, t]) for i, t in docs)
+    clean = sorted(((r["doc_id"], r["text"]) for r in lm.cleaned(df).collect()), key=str)
+    assert clean == sorted(((i, t and "\n".join(x for n, x in enumerate(t.split("\n")) if x == "" or n in want[i, t])) for i, t in docs), key=str)
