@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from lexicarve.llm import fm_decontam, langid_viterbi, pareto_mix, ring_sharding, simhash_mih
 from lexicarve.llm.common import read_table, shared
 
-# Rejected are texts without a letter (and null), and texts that no learned language claims.
-MIN_LANGUAGE_SCORE = 0.05
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the model is fitted on the stage's own input."""
+    """Documents that can have a language: rejected is only null or a text without a letter.
+
+    The model is fitted on the stage's own input. Its score does not decide:
+    it is low for texts of several languages and 0 for scripts without one.
+    """
     model = langid_viterbi.train(langid_viterbi.learnable(docs))
-    return langid_viterbi.keep_identified(docs, model, MIN_LANGUAGE_SCORE)
+    return langid_viterbi.keep_identified(docs, model, 0.0)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

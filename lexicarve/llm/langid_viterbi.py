@@ -318,7 +318,10 @@ def label_languages(docs: DataFrame, model: Model, text: str = "text", key: str
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
-    """Rows, with all their columns, whose language is not ``und`` and scores at least ``min_score``. No shuffle."""
+    """Rows, with all their columns, whose language is not ``und`` and scores at least ``min_score``. No shuffle.
+
+    Without learned languages every text has score 0 and counts as identified if it has a letter.
+    """
     at, names = docs.columns.index(text), docs.columns
 
     def run(batches):
@@ -326,6 +329,8 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float, text: str =
             texts, keep = b.column(at).to_pylist(), []
             for r in by_size([len(t or "") for t in texts], 2 * CHUNK_CHARS):
                 pred, score, _, _ = identify(model, [texts[i] for i in r])
+                if not model.langs:
+                    pred = ["" if _words([texts[i] or ""]) else UND for i in r]
                 keep += [p != UND and s >= min_score for p, s in zip(pred, score)]
             yield b.filter(pa.array(keep, pa.bool_()))
 

@@ -59,3 +59,21 @@ def test_pipeline_on_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_language_stage_keeps_every_text_with_a_letter(spark):
+    """Texts of three languages, scripts that no labelled row uses, and input without any label stay; null and letterless texts go."""
+    words = {g: [f"{a}{b}{c}" for a in p[0] for b in p[1] for c in p[2]] for g, p in
+             {"aa": ("bdg", "aei", "nst"), "bb": ("klm", "ouy", "rvz"), "cc": ("fhp", "äöü", "cqx")}.items()}
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = [(i, " ".join(words[g][(i * 7 + j * 5) % 27] for j in range(40)), g, "s", 1) for i in range(60) for g in [sorted(words)[i % 3]]]
+    part = {"aa": 36, "bb": 33, "cc": 31}
+    mixed = " ".join(" ".join((words[g] * 40)[:10 * n]) for g, n in part.items())
+    extra = [(100, mixed, "aa", "s", 1), (101, "Это обычный русский текст без метки", None, "s", 1), (102, "これは日本語です", None, "s", 1), (103, "naïve 中文 mixed", None, "s", 1)]
+    gone = [(200, None, "aa", "s", 1), (201, "", None, "s", 1), (202, "123 !!", "aa", "s", 1)]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    docs = spark.createDataFrame(rows + extra + gone, schema)
+    want = {r[0] for r in rows + extra}
+    assert {r["doc_id"] for r in stage(spark, docs, SF).collect()} == want
+    bare = spark.createDataFrame([(*r[:2], None, *r[3:]) for r in rows + extra + gone], schema)
+    assert {r["doc_id"] for r in stage(spark, bare, SF).collect()} == want
