@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn
+from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn, whitening
 from .common import id_mod, read_table
 
 
@@ -68,6 +68,10 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.read_back(chat_template.format_conversations(rows))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
     "op2_ann_postings": op2_ann_postings,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": op8_pareto_mix,
     "op9_fm_decontam": op9_fm_decontam,
     "op10_chat_template": op10_chat_template,
+    "op12_whitening": op12_whitening,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
