@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, toxicity_cnn, whitening
+from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, source_audit, toxicity_cnn, whitening
 from .common import id_mod, read_table
 
 
@@ -68,6 +68,10 @@ def op10_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.read_back(chat_template.format_conversations(rows))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": op8_pareto_mix,
     "op9_fm_decontam": op9_fm_decontam,
     "op10_chat_template": op10_chat_template,
+    "op11_source_audit": op11_source_audit,
     "op12_whitening": op12_whitening,
 }
 
@@ -93,6 +98,33 @@ _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
 _CONTROL = r"'\\\\|<\||<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'"
 
 ORACLE: dict[str, str] = {
+    "op11_source_audit": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term FROM c GROUP BY lang, term HAVING count(*) >= 10),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+gc AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM c JOIN k USING (lang, term) GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN gc ON gc.lang = g.lang AND gc.source = g.source GROUP BY ALL),
+p AS (SELECT gn.lang, gn.source, k.term, coalesce(n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p
+      FROM gn JOIN k ON k.lang = gn.lang JOIN v ON v.lang = gn.lang
+      LEFT JOIN gc ON gc.lang = gn.lang AND gc.source = gn.source AND gc.term = k.term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (max(total) + 2 * max(v)) AS q
+      FROM (SELECT k.lang, k.term, coalesce(n, 0) AS n FROM k LEFT JOIN gc ON gc.lang = k.lang AND gc.term = k.term)
+      JOIN (SELECT lang, sum(total) AS total FROM gn GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+term AS (SELECT p.lang, source, 'term' AS part, p.term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+         FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (SELECT * FROM every UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank::INT AS rank FROM r WHERE part = 'pair' OR rank <= 10""",
     "op10_chat_template": f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
