@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, ring_sharding, secret_battery, simhash_mih, source_audit, toxicity_cnn, whitening
+from . import ann_postings, chat_template, fm_decontam, langid_viterbi, line_minhash, pareto_mix, pii_skipcrf, ring_sharding, secret_battery, simhash_mih, source_audit, toxicity_cnn, whitening
 from .common import id_mod, read_table
 
 
+def counted(kinds: list[str]) -> list[Column]:
+    """How many base spans of each kind: n_<kind>."""
+    def of(i: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
+    return [of(i).alias(f"n_{k}") for i, k in enumerate(kinds)]
+
+
 def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity_cnn.train(docs, toxicity_cnn.learnable(read_table(spark, sf_dir, "labels")))
@@ -41,8 +48,7 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_battery.secrets(read_table(spark, sf_dir, "documents"))
-    count = {k: F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secret_battery.KINDS[:3])}
-    return found.select("doc_id", *count.values(), F.sha2(secret_battery.spelled(F.col("base")), 256).alias("base_sha256"),
+    return found.select("doc_id", *counted(secret_battery.KINDS[:3]), F.sha2(secret_battery.spelled(F.col("base")), 256).alias("base_sha256"),
                         secret_battery.spelled(F.col("spans")).alias("spans"))
 
 
@@ -76,6 +82,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_pii_skipcrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_skipcrf.personal_data(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *counted(pii_skipcrf.KINDS), F.sha2(pii_skipcrf.spelled(F.col("base")), 256).alias("base_sha256"),
+                        pii_skipcrf.spelled(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_cnn": op1_toxicity_cnn,
     "op2_ann_postings": op2_ann_postings,
@@ -89,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_template": op10_chat_template,
     "op11_source_audit": op11_source_audit,
     "op12_whitening": op12_whitening,
+    "op13_pii_skipcrf": op13_pii_skipcrf,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
