@@ -30,7 +30,6 @@ they occur; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
-import re
 import struct
 from collections import Counter
 
@@ -51,21 +50,21 @@ CHUNK = 4096
 TILE = 256
 UNIT = 1_000_000_000
 PIECE = 4 << 20
-_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_OUTSIDE = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
+# A-Z to a-z; letters and bytes of other scripts stay, all else becomes a blank
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def term_lists(text: bytes):
     """The terms of a text in lists; long texts in pieces cut between terms."""
-    text = text.lower()  # bytes: A-Z only
+    text = text.translate(_FOLD)
     at = 0
     while len(text) - at > PIECE:
-        cut = _OUTSIDE.search(text, at + PIECE)
-        if not cut:
+        cut = text.find(b" ", at + PIECE)
+        if cut < 0:
             break
-        yield _TERM.findall(text[at:cut.start()])
-        at = cut.start()
-    yield _TERM.findall(text[at:] if at else text)
+        yield text[at:cut].split()
+        at = cut
+    yield (text[at:] if at else text).split()
 
 
 class Transducer:
