@@ -13,7 +13,8 @@ The Viterbi pass is exact and vectorised over blocks of words: max-plus
 transfer matrices per block, a pass over the blocks of each document, and
 a trace back inside all blocks at once.
 
-Defined cases: a null text or one without letters is ``und`` with score 0
+Defined cases: a null text or one without letters (Unicode category L*, of
+any plane; words of combining marks alone are none) is ``und`` with score 0
 and no span; a text whose scripts no learned language uses gets the most
 frequent learned language with score 0; without learned languages all is
 ``und``. Rows with a null language are never learned from. Repeated rows
@@ -33,7 +34,6 @@ from .common import by_size, id_mod, in_arrow, mix32
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 1500
-MAX_LANGUAGES = 500  # classes learned, most frequent first
 SWITCH = 7.0
 BLOCK = 64
 CHUNK_CHARS = 1 << 19
@@ -62,30 +62,37 @@ OTHER = len(SCRIPTS)
 
 @functools.cache
 def _char_tables():
-    """For every code point: its lower-case form if it is a letter or joining mark (else 0), and its script."""
+    """For every code point: its lower-case form if it is a letter or joining mark (else 0), its script, and whether it is a letter."""
     import unicodedata
 
-    n = 0x30000
+    n = 0x40000  # no plane beyond has letters
     low = np.zeros(n, np.uint32)
+    letter = np.zeros(n, bool)
     for cp in range(n):
         c = chr(cp)
-        if c.isalpha() or unicodedata.category(c) in ("Mn", "Mc"):
+        letter[cp] = c.isalpha()
+        if letter[cp] or unicodedata.category(c) in ("Mn", "Mc"):
             s = c.lower()
             low[cp] = ord(s) if len(s) == 1 else cp
     script = np.full(n, OTHER, np.int8)
     for k, (_, ranges) in enumerate(SCRIPTS):
         for a, b in ranges:
             script[a:b + 1] = k
-    return low, script
+    return low, script, letter
 
 
 def _words(texts: list[str]):
     """Letters of all texts in one run: (folded, bucket, script, position, text index, word starts)."""
-    low, script = _char_tables()
+    low, script, letter = _char_tables()
     cps = np.frombuffer("\0".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     cps = np.where(cps < len(low), cps, 0)
     x = low[cps]
     pos = np.flatnonzero(x)
+    if len(pos):  # marks without a letter beside them are no word
+        run = np.flatnonzero(np.concatenate(([True], np.diff(pos) > 1)))
+        real = np.logical_or.reduceat(letter[cps[pos]], run)
+        if not real.all():
+            pos = pos[np.repeat(real, np.diff(np.append(run, len(pos))))]
     if not len(pos):
         return None
     pad = np.zeros(len(x) + 2, np.uint32)
@@ -253,7 +260,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     """Fit on about ``sample_rows`` rows per language of ``docs`` (rows chosen by hash of the key)."""
     base = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = base.groupBy(F.col(lang).cast("string").alias("g")).agg(F.count(F.lit(1)).alias("n")) \
-                .orderBy(F.desc("n"), "g").limit(MAX_LANGUAGES).collect()
+                .collect()  # one row per language
     langs = sorted(r["g"] for r in sizes)
     rows = {r["g"]: r["n"] for r in sizes}
     if not langs:
@@ -262,7 +269,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     rank = F.create_map(*[F.lit(x) for i, g in enumerate(langs) for x in (g, i)])
     g = F.col(lang).cast("string")
     part = F.pmod(F.xxhash64(F.col(key), F.lit("langid")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = base.where(g.isin(langs)).where(part < F.try_element_at(share, g)) \
+    sample = base.where(part < F.try_element_at(share, g)) \
                  .select(F.try_element_at(rank, g).cast("int").alias("l"), F.col(text).alias("t"))
     k = len(langs)
 

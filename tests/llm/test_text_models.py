@@ -191,3 +191,19 @@ def test_cuts_of_a_stratum_without_candidates(spark):
     rows = [(1, [(0, 20, "a", 3)] * 50, [("a", 0)] + [("a", 30)] * 49), (2, [], [("b", 0)])]
     got = {r["stratum"]: r["cut"] for r in sb.cuts(spark.createDataFrame(rows, schema)).collect()}
     assert got == {"a": 29} or got == {"a": 3}
+
+
+def test_letters_of_all_planes_and_marks_alone(spark):
+    """A text of combining marks has no letter; one of letters beyond U+30000 has."""
+    rows = [(i, "the quick brown fox jumps over it", "en") for i in range(30)]
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = [(100, "\u0301\u0300 \u0903"), (101, "\U00030000\U00030001"), (102, "e\u0301a"), (103, "12 \u0301")]
+    out = {r["doc_id"]: r["lang_pred"] for r in li.label_languages(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    assert out == {100: "und", 101: "en", 102: "en", 103: "und"}
+    assert not any(chr(c).isalpha() for c in range(0x40000, 0x110000))
+
+
+def test_more_than_500_languages_are_learned(spark):
+    rows = [(i, " ".join([f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}word"] * 5), f"l{i:03d}") for i in range(520)]
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.langs) == 520
