@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -42,6 +42,29 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def number_repeated(rows: DataFrame, same: Column, equal: Column, out: str, salts: int = 256) -> DataFrame:
+    """Adds ``out``: null for rows that share ``same`` with no other row, else numbers from 0 without gaps among rows with equal ``equal``.
+
+    Rows without repetition are not shuffled. Repeated ones are numbered
+    inside ``salts`` parts of their group, whose counts give the offsets,
+    so a group of a third of all rows is no single task. Rows that are
+    equal in all that ``equal`` covers take the numbers in any order.
+    """
+    keyed = rows.withColumn("_same", same)
+    repeated = shared(keyed.groupBy("_same").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_same"), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn(out, F.lit(None).cast("long"))
+    alone = keyed.join(repeated, "_same", "left_anti").withColumn(out, F.lit(None).cast("long"))
+    many = keyed.join(repeated, "_same", "left_semi").withColumn("_equal", equal)
+    many = shared(many.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))), "repeated-rows")
+    before = Window.partitionBy("_equal").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    offset = (many.groupBy("_equal", "_salt").agg(F.count(F.lit(1)).alias("n"))
+                  .select("_equal", "_salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off")))
+    inside = F.row_number().over(Window.partitionBy("_equal", "_salt").orderBy("_salt"))
+    many = many.withColumn("_r", inside - 1).join(offset, ["_equal", "_salt"]).withColumn(out, (F.col("_off") + F.col("_r")).cast("long"))
+    return alone.select(*rows.columns, out).unionByName(many.select(*rows.columns, out))
+
+
 def by_size(sizes: list[int], limit: int) -> Iterator[range]:
     """Consecutive index ranges whose sizes sum to at most ``limit`` (a larger item is alone)."""
     at = total = 0

@@ -7,7 +7,8 @@ length share its target the same way with a weight that falls slowly with
 length, which gives every document its expected copies. The whole part is
 certain. The fraction is the inclusion probability p of one more copy:
 documents are ranked by random odds over inclusion odds,
-(u / (1 - u)) / (p / (1 - p)) with u a fixed hash of the id, and taken in
+(u / (1 - u)) / (p / (1 - p)) with u a fixed hash of the id (where rows
+share an id, of their text and number among equal rows too), and taken in
 that order until the source's remaining words are reached as nearly as
 whole documents can. So the size in words is fixed, within half a document.
 
@@ -18,8 +19,10 @@ which are joined to the rows; texts are never shuffled.
 
 Defined cases: a null text has no words; documents without words are
 passed once and count nothing; a null source is a source of its own, last
-in order; a null id hashes as the empty string; rows that are equal in id
-and source are treated alike; an empty table gives no rows.
+in order; a source without words takes its turn in the weights and has
+target 0; a null id hashes as the empty string; rows that share an id, or
+are equal in all columns, are drawn one by one; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, shared
+from .common import WORD_RE, number_repeated, shared
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -41,9 +44,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def uniform(key: Column, seed: int = SEED) -> Column:
-    """A fixed number in (0, 1) for every id."""
-    h = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f"-{seed}")))
+def uniform(key: Column, seed: int = SEED, more: Column | None = None) -> Column:
+    """A fixed number in (0, 1) for every id, and ``more`` where it is not null."""
+    more = F.lit("") if more is None else F.coalesce(F.concat(F.lit("#"), more), F.lit(""))
+    h = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), more, F.lit(f"-{seed}")))
     return (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -69,10 +73,18 @@ def water_fill(df: DataFrame, group: list[str], amount: Column, weight: str, mos
                                             .otherwise(F.col(weight) * F.col("_t"))).drop("_level", "_full", "_t")
 
 
-def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(id, size, src, cls, u): what the mix needs to know of a row."""
-    d = docs.select(F.col(key).alias("id"), word_count(F.col(text)).alias("size"), source_key(F.col(source)).alias("src"))
-    return d.withColumn("cls", length_class(F.col("size"))).withColumn("u", uniform(F.col("id")))
+def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", whole: Column | None = None) -> DataFrame:
+    """(id, size, src, cls, u) and ``whole``, if given: what the mix needs to know of a row."""
+    d = docs.select(*([] if whole is None else [whole]), F.col(key).alias("id"), word_count(F.col(text)).alias("size"),
+                    source_key(F.col(source)).alias("src"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_md5"))
+    if whole is None:
+        d = shared(d, "mix-measured")
+    same = F.xxhash64(F.col("id").isNull(), F.col("id").cast("string"))
+    d = number_repeated(d, same, F.xxhash64(same, "text_md5", "src"), "number")
+    # equal rows of one id are told apart by their number, other rows of one id by their text
+    more = F.concat_ws("#", "text_md5", F.col("number").cast("string"))
+    return d.withColumn("cls", length_class(F.col("size"))) \
+            .withColumn("u", uniform(F.col("id"), more=F.when(F.col("number").isNotNull(), more))).drop("text_md5", "number")
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -90,8 +102,9 @@ class Mix:
     """Targets and cuts of a mix: ``classes`` by (src, cls), ``cuts`` by src."""
 
     def __init__(self, rows: DataFrame, weights=WEIGHTS, budget: float = BUDGET):
-        sums = rows.where("size > 0").groupBy("src", "cls").agg(F.sum("size").cast("double").alias("words"))
-        src = sums.groupBy("src").agg(F.sum("words").alias("source_size"))
+        every = rows.groupBy("src", "cls").agg(F.sum("size").cast("double").alias("words"))
+        sums = every.where("words > 0")
+        src = every.groupBy("src").agg(F.sum("words").alias("source_size"))
         turn = (F.row_number().over(Window.orderBy("src")) - 1) % len(weights)
         src = src.withColumn("w", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), turn + 1)) \
                  .withColumn("most", MOST * F.col("source_size"))
@@ -140,6 +153,5 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     """The mix itself: every document as often as it is taken, with its own columns."""
     plan = Mix(shared(measured(docs, key, text, source), "mix-rows"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    d = docs.select(whole, F.col(key).alias("id"), word_count(F.col(text)).alias("size"), source_key(F.col(source)).alias("src"))
-    d = plan.take(d.withColumn("cls", length_class(F.col("size"))).withColumn("u", uniform(F.col("id"))))
+    d = plan.take(measured(docs, key, text, source, whole))
     return d.where("n_copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy")).select("doc.*")

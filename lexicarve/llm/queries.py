@@ -149,10 +149,13 @@ SELECT conv_id, count(*) AS n_turns,
            + length(role) - length(replace(role, chr(10), '')))::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id""",
     "op8_pareto_mix": r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
-c AS (SELECT *, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src, length(bin(size + 1)) - 1 AS cls,
-             (('0x' || substr(md5(doc_id || '-17'), 1, 13))::BIGINT + 0.5) / 4503599627370496::DOUBLE AS u FROM d),
-s AS (SELECT src, sum(size)::DOUBLE AS source_size FROM c GROUP BY src HAVING sum(size) > 0),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, md5(coalesce(text, '')) AS text_md5,
+                  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+b AS (SELECT *, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src, length(bin(size + 1)) - 1 AS cls,
+             CASE WHEN count(*) OVER (PARTITION BY doc_id) > 1 THEN '#' || text_md5 || '#'
+                  || (row_number() OVER (PARTITION BY doc_id, text_md5, source ORDER BY rid) - 1) ELSE '' END AS more FROM d),
+c AS (SELECT *, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || more || '-17'), 1, 13))::BIGINT + 0.5) / 4503599627370496::DOUBLE AS u FROM b),
+s AS (SELECT src, sum(size)::DOUBLE AS source_size FROM c GROUP BY src),
 w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY src) - 1) % 3 + 1]::DOUBLE AS w, 2 * source_size AS most,
              sum(source_size) OVER () AS total FROM s),
 l AS (SELECT *, (1.5 * total - coalesce(sum(most) OVER (ORDER BY most / w, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -168,12 +171,12 @@ e AS (SELECT src, cls, words, least(CASE WHEN most <= w * lv THEN most
              ELSE w * max(CASE WHEN most > w * lv THEN lv END) OVER (PARTITION BY src) END / words, 2.0) AS copies FROM kl),
 rest AS (SELECT src, sum((copies - floor(copies)) * words) AS rest FROM e GROUP BY src),
 p AS (SELECT c.*, copies, copies - floor(copies) AS p FROM c JOIN e USING (src, cls) WHERE size > 0),
-r AS (SELECT doc_id, src, sum(size) OVER (PARTITION BY src ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id
-             ROWS UNBOUNDED PRECEDING) - size / 2.0 <= rest AS more FROM p JOIN rest USING (src) WHERE p > 0),
-n AS (SELECT p.doc_id, floor(copies)::INT + CASE WHEN coalesce(more, false) THEN 1 ELSE 0 END AS n FROM p LEFT JOIN r USING (doc_id))
-SELECT c.doc_id, c.size, coalesce(source_size, 0)::BIGINT AS source_size, coalesce(target, 0.0)::DOUBLE AS target,
+r AS (SELECT rid, sum(size) OVER (PARTITION BY src ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id
+             ROWS UNBOUNDED PRECEDING) - size / 2.0 <= rest AS more_copies FROM p JOIN rest USING (src) WHERE p > 0),
+n AS (SELECT p.rid, floor(copies)::INT + CASE WHEN coalesce(more_copies, false) THEN 1 ELSE 0 END AS n FROM p LEFT JOIN r USING (rid))
+SELECT c.doc_id, c.size, source_size::BIGINT AS source_size, target::DOUBLE AS target,
        (c.size * coalesce(n, 1))::BIGINT AS taken, coalesce(n, 1)::INT AS n_copies
-FROM c LEFT JOIN t USING (src) LEFT JOIN n USING (doc_id)""",
+FROM c JOIN t USING (src) LEFT JOIN n USING (rid)""",
     "op9_fm_decontam": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),

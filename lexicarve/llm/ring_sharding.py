@@ -8,7 +8,8 @@ next shard, round by round, until it fits.
 
 The ring is cut into 2^CELL_BITS cells. Bytes per cell are one partial
 aggregate; a cell heavier than a quarter of the slack (a third of all rows
-may be one text) is cut into pieces by the hash of the id. These pieces,
+may be one text) is cut into pieces by the hash of the id, and where rows
+of such a cell share an id, of their checksum and number too. These pieces,
 at most 2^CELL_BITS + 4 * shards / EPSILON of them at any input size, are
 placed whole. Only that bounded table is ordered in one task and broadcast;
 the rows are shuffled once, as narrow rows by piece, to number the slots.
@@ -30,7 +31,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import number_repeated, shared
 
 SHARDS = 8
 VNODES = 64
@@ -85,10 +86,12 @@ def assign(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     heavy = shared(cells.where(F.col("bytes") > limit)
                         .select("cell", F.ceil(F.col("bytes") / limit).cast("long").alias("pieces")), "ring-heavy")
     # at most 4 * shards / epsilon cells are heavy
-    cut = (rows.join(F.broadcast(heavy), "cell", "left")
-               .withColumn("sub", F.when(F.col("pieces").isNull(), 0)
-                                   .otherwise(F.pmod(F.xxhash64("id", F.lit("piece")), F.coalesce("pieces", F.lit(1)))).cast("int"))
-               .drop("pieces"))
+    crowd = rows.join(F.broadcast(heavy), "cell")
+    same = F.xxhash64(F.col("id").isNull(), F.col("id").cast("string"), "cell")
+    crowd = number_repeated(crowd, same, F.xxhash64(same, "crc", "size"), "number")
+    piece = F.when(F.col("number").isNull(), F.xxhash64("id", F.lit("piece"))).otherwise(F.xxhash64("id", F.lit("piece"), "crc", "number"))
+    light = rows.join(F.broadcast(heavy), "cell", "left_anti").withColumn("sub", F.lit(0))
+    cut = light.unionByName(crowd.withColumn("sub", F.pmod(piece, F.col("pieces")).cast("int")).drop("pieces", "number"))
     units = cut.groupBy("cell", "sub").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     cap = F.ceil(total * ((1 + epsilon) / shards))
     placed = place(units, cap, shards)

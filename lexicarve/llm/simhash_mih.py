@@ -135,15 +135,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay: of each component the one with the smallest key, once.
+    """Of each component one row, with all its columns: the first by key (null last), then by hash of the text.
 
-    ``key`` identifies a document; rows that repeat a kept key go as
-    copies. Rows without a key cannot be named as a group's survivor: of
-    those with equal text one stays.
+    Rows are told apart by key and text, so texts that share a key are
+    judged each by its own component; of rows equal in both any one stays.
     """
-    drop = near_duplicates(docs, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
-    kept = docs.join(drop, key, "left_anti").select(*docs.columns)
-    if "_same" in docs.columns:
-        raise ValueError("the column name _same is taken")
-    return (kept.withColumn("_same", F.when(F.col(key).isNull(), F.xxhash64(text)))
-                .dropDuplicates([key, "_same"]).select(*docs.columns))
+    th = F.xxhash64(F.col(text))
+    first = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), th.alias("th"))
+    name = lambda none, i, h: F.concat_ws("/", none.cast("string"), F.coalesce(i.cast("string"), F.lit("")), h.cast("string"))
+    of = lambda c: name(F.col(f"{c}.none"), F.col(f"{c}.id"), F.col(f"{c}.th"))
+    near = near_duplicates(docs.select(first.alias("row"), F.col(text).alias("text")), "row", "text")
+    kept = near.select(of("row").alias("name"), of("component_id").alias("first")).where("name = first").select("name").distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                        name(F.col(key).isNull(), F.col(key), th).alias("name"))
+    # equal rows collapse before the shuffle, which the join on the same column uses again
+    return whole.dropDuplicates(["name"]).join(kept, "name", "left_semi").select("doc.*")

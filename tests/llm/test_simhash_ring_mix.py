@@ -185,9 +185,15 @@ def plain_mix(rows):
     import hashlib
     import re
 
+    ids, equal = defaultdict(int), defaultdict(int)
+    for r in rows:
+        ids[r["doc_id"]] += 1
     for r in rows:
         r["size"] = len(re.findall("[^\x20\x09-\x0D]+", r["text"] or ""))
-        h = hashlib.md5(f"{'' if r['doc_id'] is None else r['doc_id']}-{pareto_mix.SEED}".encode()).hexdigest()
+        t = hashlib.md5((r["text"] or "").encode()).hexdigest()
+        more = f"#{t}#{equal[r['doc_id'], t, r['source']]}" if ids[r["doc_id"]] > 1 else ""
+        equal[r["doc_id"], t, r["source"]] += 1
+        h = hashlib.md5(f"{'' if r['doc_id'] is None else r['doc_id']}{more}-{pareto_mix.SEED}".encode()).hexdigest()
         r["u"] = (int(h[:13], 16) + 0.5) / (1 << 52)
 
     def fill(total, weight, most):
@@ -204,7 +210,7 @@ def plain_mix(rows):
     size = defaultdict(int)
     for r in rows:
         size[(r["source"] is None, r["source"] or "")] += r["size"]
-    names = sorted(s for s in size if size[s])
+    names = sorted(size)  # a source without words takes its turn
     target = fill(1.5 * sum(size.values()), {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}, {s: 2 * size[s] for s in names})
     for s in names:
         own = [r for r in rows if (r["source"] is None, r["source"] or "") == s and r["size"]]
@@ -266,3 +272,67 @@ def test_mix_odd_tables(spark, docs):
 def test_uniform_is_spread(spark):
     u = np.array([r[0] for r in spark.range(2000).select(pareto_mix.uniform(__import__("pyspark").sql.functions.col("id"))).collect()])
     assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.03
+
+
+def mix_rows(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return df, pareto_mix.mix(df).collect()
+
+
+def test_mix_source_without_words_takes_its_turn(spark):
+    """a has no words and weighs 3; b weighs 1, c weighs 2: of 3,000 words b gets 1,000 and c 2,000."""
+    rows = [(0, "", "a"), (1, None, "a")]
+    rows += [(10 + i, "w " * 50, "b") for i in range(20)] + [(100 + i, "w " * 50, "c") for i in range(20)]
+    _, out = mix_rows(spark, rows)
+    by = {r["doc_id"]: r for r in out}
+    assert by[0]["target"] == 0.0 and by[10]["target"] == pytest.approx(1000) and by[100]["target"] == pytest.approx(2000)
+    taken = [sum(r["taken"] for r in out if lo <= r["doc_id"] < lo + 50) for lo in (10, 100)]
+    assert abs(taken[0] - 1000) <= 50 and taken[1] == 2000
+
+
+def test_mix_of_repeated_and_null_ids_meets_its_targets(spark):
+    rows = [(None, f"w{i} x y z a b c", "s") for i in range(300)] + [(7, "one two three four five", "s")] * 300
+    rows += [(1000 + i, "q r s t u v w x y z", "t") for i in range(200)]
+    df, out = mix_rows(spark, rows)
+    want = plain_mix([dict(zip(("doc_id", "text", "source"), r)) for r in rows])
+    assert sorted((r["doc_id"] or -1, r["size"], r["n_copies"]) for r in out) == sorted((r["doc_id"] or -1, r["size"], r["n"]) for r in want)
+    for s, size in (("s", 7), ("t", 10)):
+        own = [r for r in out if (r["size"] == 10) == (s == "t")]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= size
+    assert pareto_mix.mixed(df.repartition(7)).count() == sum(r["n_copies"] for r in out)
+
+
+def test_ring_of_repeated_and_null_ids_is_even(spark):
+    rows = [(None, "the same text for all of these rows")] * 1500 + [(i, f"text number {i} " * 3) for i in range(1500)] + [(5, "again and again")] * 900
+    out = ring_sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    load = defaultdict(int)
+    for r in out:
+        load[r["shard"]] += r["size"]
+    mean = sum(load.values()) / 8
+    assert len(out) == len(rows) and max(load.values()) <= 1.01 * mean + 60 and min(load.values()) >= 0.9 * mean
+    for s in load:
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+
+
+def test_keep_one_judges_rows_that_share_an_id_by_their_texts(spark):
+    t = " ".join(f"word{i}" for i in range(60))
+    u = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, t), (2, t), (2, u), (None, u), (None, "alone here"), (None, "alone here"), (3, "")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, _same string, name int")
+    kept = simhash_mih.keep_one(df)
+    assert kept.columns == df.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=key) == [(1, t), (2, u), (3, ""), (None, "alone here")]
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_number_repeated(spark, salts):
+    from pyspark.sql import functions as F
+    rows = [(1, "a")] * 50 + [(1, "b"), (2, "a"), (None, "c"), (None, "c"), (3, None)]
+    df = spark.createDataFrame(rows, "i long, t string").repartition(5)
+    same = F.xxhash64(F.col("i").isNull(), "i")
+    out = defaultdict(list)
+    for r in common.number_repeated(df, same, F.xxhash64(same, "t"), "no", salts).collect():
+        out[r["i"], r["t"]].append(r["no"])
+    assert sorted(out[1, "a"]) == list(range(50)) and out[1, "b"] == [0] and sorted(out[None, "c"]) == [0, 1]
+    assert out[2, "a"] == [None] and out[3, None] == [None]
