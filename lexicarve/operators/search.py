@@ -61,6 +61,19 @@ FOREST_SPACE = {
 }
 
 
+# The forest space of the k-fold searches (fixed values).
+FOREST_SPACE_CV = {
+    "n_estimators": Grid(100, 5000, 1000),
+    "max_features": Choice(("log2", "sqrt", "all")),
+    "max_depth": Grid(10, 5000, 1000, none=True),
+    "min_samples_split": Grid(1, 100, 1000),
+    "min_samples_leaf": Grid(10, 100, 1000),
+    "bootstrap": Choice((True, False)),
+}
+
+ROUNDS = 6  # of the keyed permutation
+
+
 def draw_index(trial: Column, param: str, size: int, seed: int) -> Column:
     """R2: seeded uniform pick of an index in [0, size) for (trial, parameter)."""
     h = F.md5(F.concat(F.lit(f"{seed}-"), trial.cast("string"), F.lit(f"-{param}")))
@@ -74,6 +87,39 @@ def draw_trials(spark: SparkSession, n_iter: int, space: dict, seed: int = 42) -
                               for name, p in space.items()])
 
 
+def grid_size(space: dict) -> int:
+    """How many parameter sets a space has."""
+    n = 1
+    for p in space.values():
+        n *= p.size
+    return n
+
+
+def draw_distinct(spark: SparkSession, n_iter: int, space: dict, seed: int = 42) -> DataFrame:
+    """R6's draws: distinct parameter sets, as many as asked for or as the grid has.
+
+    The grid is a number line in mixed radix. Trial i is the i-th number of
+    a keyed permutation of that line: the number is cut into two halves
+    (the first parameters and the rest), and in each round a hash of one
+    half is added to the other, modulo its size. Every round can be undone,
+    so no two trials meet, and the grid is never listed.
+    """
+    names = list(space)
+    head, tail = names[:(len(names) + 1) // 2], names[(len(names) + 1) // 2:]
+    a, b = grid_size({k: space[k] for k in head}), grid_size({k: space[k] for k in tail})
+    t = spark.range(min(n_iter, a * b)).select(F.col("id").alias("iter"), F.floor(F.col("id") / b).alias("x"), (F.col("id") % b).alias("y"))
+    for r in range(ROUNDS):
+        to, of, size = ("x", "y", a) if r % 2 == 0 else ("y", "x", b)
+        h = F.md5(F.concat(F.lit(f"{seed}-{r}-"), F.col(of).cast("string")))
+        t = t.withColumn(to, (F.col(to) + F.conv(F.substring(h, 1, 13), 16, 10).cast("long")) % size)
+    out = [F.col("iter")]
+    for half, at in ((head, F.col("x")), (tail, F.col("y"))):
+        for k in half:
+            out.append(space[k].value(at % space[k].size).alias(k))
+            at = F.floor(at / space[k].size)
+    return t.select(*out)
+
+
 def annotate_log(log: DataFrame, score: str = "f1", iter_col: str = "iter", patience: int = 5) -> DataFrame:
     """W3 + W4 + L6 over a search log.
 

@@ -12,6 +12,8 @@ Data binding (stand-ins for the reference's inputs, see README):
 
 from __future__ import annotations
 
+import math
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -509,6 +511,7 @@ def m9_m10_score_metrics(spark, sf):
 # --- 2.10 search log over data: threshold rule searched like the forest ------------------
 from ..operators import encode as en  # noqa: E402
 from ..operators import search as se  # noqa: E402
+from ..operators import subword as sw  # noqa: E402
 
 N_ITER = 15
 PATIENCE = 5
@@ -524,7 +527,10 @@ def _sql_grid_value(g: se.Grid, idx: str) -> str:
 
 
 def _sql_draw(name: str, p, seed: int = SEED) -> str:
-    idx = f"(('0x' || substr(md5('{seed}-' || iter::VARCHAR || '-{name}'), 1, 8))::BIGINT % {p.size})"
+    return _sql_value(name, p, f"(('0x' || substr(md5('{seed}-' || iter::VARCHAR || '-{name}'), 1, 8))::BIGINT % {p.size})")
+
+
+def _sql_value(name: str, p, idx: str) -> str:
     if isinstance(p, se.Grid):
         return f"{_sql_grid_value(p, idx)} AS {name}"
     whens = " ".join(f"WHEN {i} THEN {q.lit(o) if isinstance(o, str) else str(o).lower()}" for i, o in enumerate(p.options))
@@ -629,6 +635,49 @@ def e1_e2_e4_pad_to_longest(spark, sf):
                     tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
 
 
+# Files of public vocabularies; the folder is the caller's to name.
+TOKENIZER_FILE = os.environ.get("LEXICARVE_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+BEGIN_ID, END_ID = 49406, 49407  # the file's own markers; the end marker also stands for unknown words
+
+
+@register("e1_subword_encoding", f"""
+WITH RECURSIVE vocab AS (SELECT replace(key, '</w>', chr(57344)) AS piece, value::BIGINT AS id
+    FROM json_each((SELECT content::JSON -> '$.model.vocab' FROM read_text('{TOKENIZER_FILE}')))),
+words AS (SELECT DISTINCT unnest(tok) AS token FROM {WORDS_SQL} w),
+cut AS (SELECT token, token || chr(57344) AS rest, []::BIGINT[] AS ids FROM words WHERE length(token) <= 100
+    UNION ALL
+    SELECT token, substr(rest, max(n) + 1) AS rest, list_append(ids, arg_max(id, n)) AS ids
+    FROM (SELECT token, rest, ids, unnest(range(1, least(length(rest), (SELECT max(length(piece)) FROM vocab)) + 1)) AS n FROM cut WHERE rest <> '') x
+    JOIN vocab v ON v.piece = substr(x.rest, 1, x.n) GROUP BY token, rest, ids),
+pieces AS (SELECT words.token, coalesce(cut.ids, [{END_ID}]::BIGINT[]) AS ids FROM words LEFT JOIN cut ON cut.token = words.token AND rest = ''),
+long AS (SELECT doc_id, unnest(range(len(tok))) AS pos, unnest(tok) AS token FROM {WORDS_SQL} w),
+body AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS ids FROM long JOIN pieces USING (token) GROUP BY doc_id)
+SELECT doc_id, len(coalesce(ids, []::BIGINT[])) + 2 AS n_ids,
+       array_to_string(list_concat([{BEGIN_ID}], coalesce(ids, []::BIGINT[]), [{END_ID}]), ' ') AS input_ids
+FROM {WORDS_SQL} w LEFT JOIN body USING (doc_id)
+""")
+def e1_subword_encoding(spark, sf):
+    """E1 with sub-words: greedy longest match on the distinct words of the corpus against a public vocabulary."""
+    vocab = src.shared(sw.vocabulary_file(spark, TOKENIZER_FILE), "subword-vocabulary")
+    enc = sw.encode_subwords(_words(spark, sf), vocab, BEGIN_ID, END_ID, END_ID)
+    return enc.select("doc_id", F.size("input_ids").cast("long").alias("n_ids"),
+                      tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
+
+
+@register("e2_length_batches", f"""
+WITH e AS (SELECT doc_id, ids, (row_number() OVER (ORDER BY len(ids), doc_id) - 1) // {BATCH} AS batch FROM {ENCODED_SQL} e),
+p AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS width FROM e),
+m AS (SELECT doc_id, batch, width, list_concat(ids, list_transform(range(width - len(ids)), lambda i: 0)) AS padded FROM p)
+SELECT doc_id, batch::BIGINT AS batch, width::BIGINT AS width, array_to_string(padded, ' ') AS padded,
+       array_to_string(list_transform(padded, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END), ' ') AS attention_mask FROM m
+""")
+def e2_length_batches(spark, sf):
+    """E2 + E4 + L5: whole-word ids in batches of rows of like length, each padded to its own longest row, with masks."""
+    b = sw.length_batches(_encoded(spark, sf), batch=BATCH)
+    text = lambda c: tx.join_tokens(F.transform(c, lambda x: x.cast("string"))).alias(c)
+    return b.select("doc_id", "batch", F.col("width").cast("long").alias("width"), text("padded"), text("attention_mask"))
+
+
 # --- 2.1 sources and sinks: round trips through the shared folder -----------------------
 from ..session import scratch_path  # noqa: E402
 from ..sources import corpus as src  # noqa: E402
@@ -689,6 +738,7 @@ def t11_sparse_vectors(spark, sf):
 
 # --- 2.10 models: what SQL can say of a fit is checked against it (keys, labels, drawn and fitted parameters, counts) ----
 from ..operators import models as md  # noqa: E402
+from ..operators import trees as tr  # noqa: E402
 from ..sources.models import load_model, save_model  # noqa: E402
 from . import flows  # noqa: E402
 
@@ -755,27 +805,82 @@ def r9_neural_head_predictions(spark, sf):
     return _sound(md.fit(md.neural_head(int(width)), train), test, "vec_id")
 
 
+SPLIT_BINS = 16  # a power of two, so that ranks are exact
+
+
+@register("r8_second_order_splits", f"""
+WITH e AS (SELECT vec_id, label AS y, embedding FROM (SELECT vec_id, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label, embedding FROM embeddings)),
+f AS (SELECT vec_id, y, unnest(range(len(embedding))) AS feature, unnest(embedding)::DOUBLE AS v FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY v) AS rn, count(*) OVER (PARTITION BY feature) AS n FROM f),
+cuts AS (SELECT DISTINCT feature, v AS cut FROM r, (SELECT unnest(range(1, {SPLIT_BINS})) AS i) WHERE rn = ceil(i * n / {SPLIT_BINS}.0)),
+n0 AS (SELECT vec_id, 0 AS node FROM e),
+b0 AS ({{best}}),
+n1 AS (SELECT f.vec_id, CASE WHEN v <= cut THEN 1 ELSE 2 END AS node FROM f JOIN b0 USING (feature)),
+b1 AS ({{best1}})
+SELECT node::INT AS node, feature::INT AS feature, cut, round(gain, 6) AS gain FROM (SELECT * FROM b0 UNION ALL SELECT * FROM b1)
+""".format(**{k: f"""SELECT node, feature, cut, gain FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, feature, cut) AS k FROM (
+      SELECT node, feature, cut, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain FROM (
+        SELECT node, feature, cut, sum(0.5::DOUBLE - y) AS gl, 0.25::DOUBLE * count(*) AS hl
+        FROM f JOIN {nodes} USING (vec_id) JOIN cuts USING (feature) WHERE v <= cut GROUP BY ALL)
+      JOIN (SELECT node, sum(0.5::DOUBLE - y) AS g, 0.25::DOUBLE * count(*) AS h FROM e JOIN {nodes} USING (vec_id) GROUP BY node) USING (node)
+      WHERE hl >= 1 AND h - hl >= 1) WHERE gain > 1e-6) WHERE k = 1""" for k, nodes in (("best", "n0"), ("best1", "n1"))}))
+def r8_second_order_splits(spark, sf):
+    """The splits of the first second-order tree (two levels) over the whole feature matrix."""
+    f = md.feature_frame(read_table(spark, sf, "embeddings"), "vec_id", "embedding", F.when(F.col("label") >= 5, 1).otherwise(0))
+    model = tr.BoostedTrees(n_estimators=1, max_depth=2, bins=SPLIT_BINS).fit(f, "vec_id")
+    return model.node_table(spark).where("feature >= 0").select("node", "feature", "cut", F.round("gain", 6).alias("gain"))
+
+
+@register("r3_forest_any_depth", f"SELECT vec_id, label, true AS scored, 20 AS n_trees, 100 AS max_depth FROM {EMBEDDED_SQL} e WHERE slice = 'test'")
+def r3_forest_any_depth(spark, sf):
+    """R3 beyond depth 30 and with ``min_samples_split``; the log shows the depth that was asked for."""
+    train, test = _split(spark, sf)
+    model = md.fit(tr.grown_forest({"n_estimators": 20, "max_depth": 100, "min_samples_split": 10, "max_features": "sqrt"}, SEED), train, "vec_id")
+    return _with_shape(_sound(model, test, "vec_id"), model)
+
+
 def _drawn_sql(space: dict, trials: int) -> str:
     draws = ", ".join(_sql_draw(n, p).replace("iter::VARCHAR", "range::VARCHAR") for n, p in space.items())
     return f"(SELECT range AS iter, * EXCLUDE (range) FROM (SELECT range, {draws} FROM range({trials})))"
 
 
+def _distinct_sql(space: dict, trials: int, seed: int = SEED) -> str:
+    """The draws without replacement: halves of the mixed-radix number, a hash of one added to the other."""
+    names = list(space)
+    head, tail = names[:(len(names) + 1) // 2], names[(len(names) + 1) // 2:]
+    a, b = (math.prod(space[k].size for k in half) for half in (head, tail))
+    rows = f"(SELECT range AS iter, range // {b} AS x, range % {b} AS y FROM range({min(trials, a * b)}))"
+    for r in range(6):
+        h = f"('0x' || substr(md5('{seed}-{r}-' || {'yx'[r % 2]}::VARCHAR), 1, 13))::BIGINT"
+        x, y = (f"(x + {h}) % {a} AS x", "y") if r % 2 == 0 else ("x", f"(y + {h}) % {b} AS y")
+        rows = f"(SELECT iter, {x}, {y} FROM {rows} r{r})"
+    cols, step = [], {}
+    for half, at in ((head, "x"), (tail, "y")):
+        for k in half:
+            cols.append(_sql_value(k, space[k], f"({at} // {step.get(at, 1)} % {space[k].size})"))
+            step[at] = step.get(at, 1) * space[k].size
+    return f"(SELECT iter, {', '.join(cols)} FROM {rows} d)"
+
+
 _FITTED = "coalesce(n_estimators, 100)::INTEGER AS fitted_trees, coalesce(least(max_depth, 30), 30)::INTEGER AS fitted_depth"
+_FITTED_ANY = "n_estimators::INTEGER AS fitted_trees, coalesce(max_depth, -1)::INTEGER AS fitted_depth"
 
 
 @register("r5_r7_holdout_search", f"""
-SELECT d.*, {_FITTED}, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'test') AS n_scored FROM {_drawn_sql(SMALL_FOREST, TRIALS)} d
+SELECT d.* REPLACE (coalesce(max_depth, -1) AS max_depth), {_FITTED_ANY}, true AS micro, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'test') AS n_scored FROM {_drawn_sql(SMALL_FOREST, TRIALS)} d
 """)
 def r5_r7_holdout_search(spark, sf):
-    """R5 + R7: the log's drawn and fitted parameters agree; five trials cannot reach the early stop."""
+    """R5 + R7 by micro F1 (equal to accuracy, one label a row): what is drawn is fitted, depth without limit (-1) too."""
     train, test = _split(spark, sf)
-    _, log = md.holdout_search(spark, train, test, "vec_id", n_iter=TRIALS, space=SMALL_FOREST)
-    return log.select("iter", *SMALL_FOREST, "fitted_trees", "fitted_depth", "n_scored")
+    _, log = md.holdout_search(spark, train, test, "vec_id", n_iter=TRIALS, space=SMALL_FOREST, make=tr.grown_forest, score="f1_micro")
+    log = log.withColumn("max_depth", F.coalesce("max_depth", F.lit(-1)))
+    return log.select("iter", *SMALL_FOREST, "fitted_trees", "fitted_depth", (F.col("f1") == F.col("acc")).alias("micro"), "n_scored")
 
 
 @register("r6_m8_cv_search", f"""
-SELECT d.*, {_FITTED}, {FOLDS} AS n_folds, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'train') AS n_scored,
-       true AS by_both FROM {_drawn_sql(SMALL_FOREST, TRIALS)} d
+SELECT d.* REPLACE (coalesce(max_depth, -1) AS max_depth), {_FITTED}, {FOLDS} AS n_folds, (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'train') AS n_scored,
+       true AS by_both FROM {_distinct_sql(SMALL_FOREST, TRIALS)} d
 """)
 def r6_m8_cv_search(spark, sf):
     """R6 + M8: every row of the training part is scored once per trial; accuracy and F1 are both given."""
@@ -783,6 +888,7 @@ def r6_m8_cv_search(spark, sf):
     folds = sm.stratified_folds(train, "label", FOLDS, key="vec_id")
     _, log = md.cv_search(spark, folds, n_iter=TRIALS, space=SMALL_FOREST, key="vec_id")
     both = F.col("mean_accuracy").between(0, 1) & F.col("mean_f1").between(0, 1)
+    log = log.withColumn("max_depth", F.coalesce("max_depth", F.lit(-1)))  # no limit
     return log.select("iter", *SMALL_FOREST, "fitted_trees", "fitted_depth", "n_folds", "n_scored", both.alias("by_both"))
 
 
