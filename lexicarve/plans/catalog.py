@@ -16,7 +16,7 @@ import math
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
@@ -738,6 +738,7 @@ def t11_sparse_vectors(spark, sf):
 
 # --- 2.10 models: what SQL can say of a fit is checked against it (keys, labels, drawn and fitted parameters, counts) ----
 from ..operators import models as md  # noqa: E402
+from ..operators import neural as nn  # noqa: E402
 from ..operators import trees as tr  # noqa: E402
 from ..sources.models import load_model, save_model  # noqa: E402
 from . import flows  # noqa: E402
@@ -840,6 +841,23 @@ def r3_forest_any_depth(spark, sf):
     return _with_shape(_sound(model, test, "vec_id"), model)
 
 
+TRAIN_EPOCHS, TRAIN_BATCH = 12, 256
+
+
+@register("r9_f4_training_log", f"""
+SELECT range::INT AS epoch, (CASE WHEN range < 10 THEN 0.02 ELSE 0.02 * power(0.5, range - 9) END)::DOUBLE AS rate,
+       (SELECT count(*) FROM {EMBEDDED_SQL} e WHERE slice = 'train') AS n_rows, (range + 1) % 3 = 0 AS kept, true AS sound, true AS fell
+FROM range({TRAIN_EPOCHS})
+""")
+def r9_f4_training_log(spark, sf):
+    """R9 + F4: the head trained by summed gradients; the rate's schedule, the kept weights, and whether the loss fell to the end."""
+    train, test = _split(spark, sf)
+    _, log = nn.DenseHead(epochs=TRAIN_EPOCHS, batch=TRAIN_BATCH).fit(train, "vec_id", validation=test)
+    first, last = (F.max(F.when(F.col("epoch") == e, F.col("loss"))).over(Window.partitionBy(F.lit(1))) for e in (0, TRAIN_EPOCHS - 1))
+    return log.select("epoch", "rate", "n_rows", F.col("kept").isNotNull().alias("kept"),
+                      (F.col("val_acc").between(0, 1) & (F.col("val_loss") > 0)).alias("sound"), (last < first).alias("fell"))
+
+
 def _drawn_sql(space: dict, trials: int) -> str:
     draws = ", ".join(_sql_draw(n, p).replace("iter::VARCHAR", "range::VARCHAR") for n, p in space.items())
     return f"(SELECT range AS iter, * EXCLUDE (range) FROM (SELECT range, {draws} FROM range({trials})))"
