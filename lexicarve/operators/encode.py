@@ -8,6 +8,7 @@ order. Padding, truncation, masks and segment ids are array expressions.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,14 +20,14 @@ from ..functions import arrays as ar
 from ..functions import text as tx
 from ..functions.lexicon import CLS_ID, FIRST_WORD_ID, SEP_ID, UNK_ID
 from ..session import shared
-from .positions import sorted_index
+from .positions import stored_index
 from .text import collect_tokens, explode_tokens
 
 
 def word_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """(token, id): distinct tokens in sorted order, ids from FIRST_WORD_ID."""
     words = tokens_df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull()).distinct()
-    v = sorted_index(shared(words, "words"), ["token"], name="_i")  # the index reads the words three times
+    v = stored_index(shared(words, "words"), ["token"], name="_i")
     return v.select("token", (F.col("_i") + F.lit(FIRST_WORD_ID)).alias("id"))
 
 
@@ -86,6 +87,22 @@ def encode_examples(df: DataFrame, vocab: DataFrame, label: str | None = "label"
     return examples(fixed_length(enc, "input_ids", max_len), "padded", label, key)
 
 
+def timed_step(df: DataFrame, step: str) -> tuple[DataFrame, DataFrame]:
+    """Writes a step's result and measures it: (result, one row (step, n_rows, n_batches, seconds)).
+
+    The time is that of the writing job. The counts are read from the
+    written ``batch`` column alone, so the step's own work runs once.
+    (``DataFrame.observe`` is not used: once a session has an observation,
+    Spark ML fits in it fail, as their tasks cannot be serialised.)
+    """
+    started = time.monotonic()
+    out = shared(df, step)
+    took = time.monotonic() - started
+    # the largest number, not a distinct count: batches are numbered without gaps
+    m = out.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("batch") + 1, F.lit(0)).alias("b")).first()
+    return out, df.sparkSession.createDataFrame([(step, int(m["n"]), int(m["b"]), took)], "step string, n_rows long, n_batches long, seconds double")
+
+
 def first_position(states: Column | str) -> Column:
     """E8 slice: the vector at sequence position 0 of a (positions x width) matrix."""
     s = F.col(states) if isinstance(states, str) else states

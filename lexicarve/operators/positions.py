@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared
+
 CUTS = 1023
 
 
@@ -117,18 +119,44 @@ def positional_index(df: DataFrame, order: str | Sequence[str], group: Sequence[
     the group's row count (for ntile-style numbering).
     """
     order = [order] if isinstance(order, str) else list(order)
-    g = list(group)
-    b = with_bucket(df, order, sample_cuts(df, order, cuts), cuts)
+    # the row travels as one struct, so no helper meets a column of the caller's
+    o, g = [f"_o{i}" for i in range(len(order))], [f"_g{i}" for i in range(len(group))]
+    d = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[F.col(f"`{c}`").alias(n) for c, n in zip([*order, *group], [*o, *g])])
+    b = with_bucket(d, o, sample_cuts(d, o, cuts), cuts)
     offs = bucket_offsets(b.select(*g, "_bkt"), g)
     if with_group_size:
-        offs = offs.withColumn(with_group_size, F.sum("_n").over(Window.partitionBy(*g)).cast("long"))
+        offs = offs.withColumn("_size", F.sum("_n").over(Window.partitionBy(*g)).cast("long"))
     offs = _twins(offs.drop("_n"), [*g, "_bkt"])
     rows = b.join(offs, _same(b, offs, [*g, "_bkt"]))
-    w = Window.partitionBy(*g, "_bkt").orderBy(*order)
-    keep = [*df.columns, name] + ([with_group_size] if with_group_size else [])
-    return rows.withColumn(name, (F.col("_off") + F.row_number().over(w)).cast("long")).select(*keep)
+    w = Window.partitionBy(*g, "_bkt").orderBy(*o)
+    size = [F.col("_size").alias(with_group_size)] if with_group_size else []
+    return rows.withColumn("_rank", (F.col("_off") + F.row_number().over(w)).cast("long")).select("_row.*", F.col("_rank").alias(name), *size)
 
 
 def sorted_index(df: DataFrame, order: Sequence[str], name: str = "idx", cuts: int = CUTS) -> DataFrame:
     """0-based position of each row in the global order of ``order``."""
     return positional_index(df, order, name=name, cuts=cuts).withColumn(name, F.col(name) - 1)
+
+
+def stored_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
+    """0-based position of each row in the order of ``order``, in one shuffle and one write.
+
+    The rows are dealt to as many ranges as the session shuffles into (more
+    data, more ranges) and sorted inside them, and are written with the
+    number of their range and their place in it. Rows per range are counted
+    from that table, and what lies before a range (one number each) is
+    added by a join on the range. No window, and ``df`` is read twice at
+    most: write an expensive one first. This runs jobs when it is called.
+    """
+    held = F.monotonically_increasing_id()  # range number * 2^33 + place, frozen by the write
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    rows = df.select(whole, *[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)])
+    keys = [f"o{i}" for i in range(len(order))]
+    rows = shared(rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("row", held.alias("held")), "stored-index")
+    ranged = rows.withColumn("part", F.shiftright("held", 33))
+    counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("part", F.coalesce(before, F.lit(0)).cast("long").alias("off"))  # one row per range
+    place = F.col("off") + F.col("held").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(offsets), "part").select("row.*", place.cast("long").alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .positions import kth_rows, positional_index, rank_range, sorted_index
@@ -83,6 +83,33 @@ def shuffle_order(df: DataFrame, seed: int = 42, key: str = "doc_id", name: str
     return positional_index(out, ["_shuffle_key", key], name=name).drop("_shuffle_key")
 
 
+def buffered_shuffle(df: DataFrame, buffer: int = 10_000, seed: int = 42, key: str = "doc_id", name: str = "shuffle_rn") -> DataFrame:
+    """L4 as the reference's input pipeline does it: a sliding buffer over the rows in order of ``key``.
+
+    The buffer holds ``buffer`` rows. Step t gives out the row in slot
+    hash(seed, t) mod buffer and fills the slot with the next row; when no
+    row is left, the slots are given out in order of a hash of the slot.
+    ``name`` is the 1-based position of a row in what is given out.
+
+    The draws do not depend on the rows, so the process need not run in
+    one place: row p (from 0) of the input enters the slot that step
+    p - buffer gives out, and leaves at the next step that draws the same
+    slot, which is a lead over the steps of a slot. Slots get equal shares
+    of the rows; at most ``buffer`` rows are ordered together at the end.
+    Rows of equal key take neighbouring places in any order.
+    """
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{key}`").alias("key"))
+    rows = positional_index(whole, "key", name="_p").withColumn("_t", F.col("_p") - 1 - F.lit(buffer))
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-step-"), F.col("_t").cast("string"))), 1, 8), 16, 10).cast("long") % buffer
+    rows = rows.withColumn("_slot", F.when(F.col("_t") < 0, F.col("_p") - 1).otherwise(drawn))
+    rows = rows.withColumn("_out", F.lead("_t").over(Window.partitionBy("_slot").orderBy("_t")))
+    steps = df.select(F.greatest(F.count(F.lit(1)) - F.lit(buffer), F.lit(0))).scalar()
+    left = rows.where("_out is null").withColumn("_h", F.md5(F.concat(F.lit(f"{seed}-slot-"), F.col("_slot").cast("string"))))
+    left = left.withColumn(name, (steps + F.row_number().over(Window.orderBy("_h", "_slot"))).cast("long"))
+    given = rows.where("_out is not null").withColumn(name, (F.col("_out") + 1).cast("long"))
+    return given.select("row.*", name).unionByName(left.select("row.*", name))
+
+
 def batches(df: DataFrame, order_col: str, size: int = 64, name: str = "batch") -> DataFrame:
     """0-based batch id from a 1-based position column; the last batch may be short."""
     return df.withColumn(name, F.floor((F.col(order_col) - 1) / F.lit(size)).cast("long"))

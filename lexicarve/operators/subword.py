@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
 from ..session import shared
-from .positions import sorted_index
+from .positions import stored_index
 from .text import explode_tokens
 
 END = "\ue000"  # private-use character in place of a file's own end-of-word mark
@@ -86,7 +86,7 @@ def length_batches(df: DataFrame, key: str = "doc_id", ids: str = "input_ids", b
     """
     d = df.withColumn(ids, F.coalesce(F.col(ids), F.array().cast(df.schema[ids].dataType))).withColumn("n_ids", F.size(ids))
     d = shared(d, "length-batches")  # numbering reads it more than once
-    numbered = sorted_index(d.select(key, "n_ids"), ["n_ids", key], name="rank").withColumn("batch", F.floor(F.col("rank") / batch))
+    numbered = stored_index(d.select(key, "n_ids"), ["n_ids", key], name="rank").withColumn("batch", F.floor(F.col("rank") / batch))
     width = numbered.groupBy("batch").agg(F.max("n_ids").alias("width"))
     placed = numbered.join(width, "batch").select(key, "batch", "width")
     padded = d.drop("n_ids").join(placed, key).withColumn(out, ar.pad_right(F.col(ids), F.col("width")))

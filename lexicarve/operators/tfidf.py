@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..session import scratch_path, shared
-from .positions import sorted_index
+from .positions import stored_index
 from .text import ngram_arrays
 
 
@@ -51,12 +51,21 @@ def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def terms(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: Callable[[Column], Column] = default_tokenizer,
+          n_min: int = 1, n_max: int = 4) -> DataFrame:
+    """The distinct terms of a corpus, without counts per document."""
+    grams = ngram_arrays(docs.select(key, tokenizer(F.col(text)).alias("_tok")), "_tok", n_min, n_max, out="_grams")
+    return grams.select(F.explode_outer("_grams").alias("term")).where(F.col("term").isNotNull()).distinct()
+
+
 def vocabulary(tf_or_df: DataFrame, name: str = "term_index") -> DataFrame:
-    """Distinct terms in sorted order, numbered from 0 (a long).
+    """Distinct terms in sorted order, numbered from 0 (a long). The distinct terms are written once."""
+    return stored_index(shared(tf_or_df.select("term").distinct(), "terms"), ["term"], name=name)
 
-    The distinct terms are written once: the index reads them three times.
-    """
-    return sorted_index(shared(tf_or_df.select("term").distinct(), "terms"), ["term"], name=name)
+
+def indexed_frequency(tf: DataFrame, name: str = "term_index") -> DataFrame:
+    """A7 + A8: (term, df, term_index), so that one join on the term brings both to the counts."""
+    return stored_index(shared(document_frequency(tf), "df"), ["term"], name=name)
 
 
 def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -95,9 +104,12 @@ def sparse_arrays(weighted: DataFrame, vocab: DataFrame, docs: DataFrame, key: s
     """(key, size, indices, values), one row per document of ``docs``, also one without a term.
 
     Indices are longs in ascending order, so a vocabulary may pass 2^31.
+    Weights that hold ``term_index`` already (from ``indexed_frequency``)
+    are not joined with the vocabulary again.
     """
     size = vocab.agg(F.coalesce(F.max("term_index") + 1, F.lit(0))).scalar()
-    pairs = (weighted.join(vocab, "term").groupBy(key)
+    placed = weighted if "term_index" in weighted.columns else weighted.join(vocab, "term")
+    pairs = (placed.groupBy(key)
                      .agg(F.array_sort(F.collect_list(F.struct(F.col("term_index").alias("i"), F.col(col).cast("double").alias("v")))).alias("_p")))
     none = F.array().cast("array<struct<i:bigint,v:double>>")
     out = docs.select(key).join(pairs, key, "left").withColumn("_p", F.coalesce("_p", none))

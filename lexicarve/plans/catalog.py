@@ -351,7 +351,7 @@ def a7_document_frequency(spark, sf):
 SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index FROM {DF_SQL} d
 """)
 def a8_vocabulary(spark, sf):
-    return tf.vocabulary(tf.term_frequency(read_table(spark, sf, "documents")))
+    return tf.vocabulary(tf.terms(read_table(spark, sf, "documents")))
 
 
 TFIDF_SQL = f"""(SELECT doc_id, term, tf, df, idf, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY doc_id)) AS tfidf
@@ -635,6 +635,33 @@ def e1_e2_e4_pad_to_longest(spark, sf):
                     tx.join_tokens(F.transform("input_ids", lambda x: x.cast("string"))).alias("input_ids"))
 
 
+BUFFER = 150  # the reference's is 10,000; less here, so that the test tables pass through it
+
+
+@register("l4_buffered_shuffle", f"""
+WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p, count(*) OVER () AS n FROM documents),
+s AS (SELECT *, p - {BUFFER} AS t, CASE WHEN p < {BUFFER} THEN p
+             ELSE ('0x' || substr(md5('{SEED}-step-' || (p - {BUFFER})::VARCHAR), 1, 8))::BIGINT % {BUFFER} END AS slot FROM p),
+o AS (SELECT *, lead(t) OVER (PARTITION BY slot ORDER BY t) AS gone FROM s)
+SELECT doc_id, gone + 1 AS shuffle_rn, gone // {BATCH} AS batch FROM o WHERE gone IS NOT NULL
+UNION ALL SELECT doc_id, r, (r - 1) // {BATCH} FROM (
+  SELECT doc_id, greatest(n - {BUFFER}, 0) + row_number() OVER (ORDER BY md5('{SEED}-slot-' || slot::VARCHAR), slot) AS r FROM o WHERE gone IS NULL)
+""")
+def l4_buffered_shuffle(spark, sf):
+    """L4 + L5 with the sliding buffer: every document's place in the shuffled order and its batch."""
+    d = sm.buffered_shuffle(read_table(spark, sf, "documents").select("doc_id"), BUFFER, SEED)
+    return sm.batches(d, "shuffle_rn", BATCH)
+
+
+@register("t14_step_metrics", f"""
+SELECT 'encode' AS step, count(*) AS n_rows, ceil(count(*) / {BATCH}.0)::BIGINT AS n_batches, true AS timed FROM documents
+""")
+def t14_step_metrics(spark, sf):
+    """Rows, batches and running time of the encode step."""
+    _, m = en.timed_step(sw.length_batches(_encoded(spark, sf), batch=BATCH), "encode")
+    return m.select("step", "n_rows", "n_batches", (F.col("seconds") > 0).alias("timed"))
+
+
 # Files of public vocabularies; the folder is the caller's to name.
 TOKENIZER_FILE = os.environ.get("LEXICARVE_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
 BEGIN_ID, END_ID = 49406, 49407  # the file's own markers; the end marker also stands for unknown words
@@ -728,10 +755,9 @@ def t11_sparse_vectors(spark, sf):
     """One sparse vector per document over the sorted vocabulary (checked by size, nnz, norm)."""
     d = read_table(spark, sf, "documents")
     freq = src.shared(tf.term_frequency(d), "tf")
-    dfreq = src.shared(tf.document_frequency(freq), "df")
+    dfreq = src.shared(tf.indexed_frequency(freq), "df-index")
     w = tf.weights(freq, dfreq, d.select(F.count(F.lit(1)).cast("double")).scalar())
-    vocab = src.shared(tf.vocabulary(dfreq), "vocabulary")
-    v = tf.sparse_arrays(w, vocab, d)
+    v = tf.sparse_arrays(w, dfreq, d)
     return v.select("doc_id", F.size("indices").cast("long").alias("nnz"), "size",
                     F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
 
