@@ -4,7 +4,9 @@ Fixed patterns (leftmost, non-overlapping per kind, then dropped if too
 short): ``assign``, ``access`` and ``hex``. The battery adds ``random``
 spans. Candidates are maximal runs of at least 16 encoding characters. The
 smallest alphabet that holds a run is its inferred encoding; runs of
-letters that look like words (one case, or a capital first) have none.
+letters that look like words (one case, or a capital first) have none. A
+run that mixes signs of two alphabets, as a key in a path does, is split
+at its signs and its parts of at least 16 characters are candidates.
 Three tests against uniform draws from that alphabet give p-values that
 Fisher's method combines: chi-squared uniformity, runs about the middle of
 the alphabet, and lag-1 serial correlation. Random strings have large
@@ -15,10 +17,14 @@ the same length and alphabet is cut from the ordinary text around it and
 put to the same tests. Counts of candidates and decoys by (family of
 encoding, length band, bin of the p-value) are summed over the whole
 corpus; the cut of a stratum is the least strict one at which decoys that
-pass are at most ``FDR`` of the candidates that pass.
+pass are at most ``FDR`` of the candidates that pass. A stratum of fewer
+than ``ENOUGH`` candidates takes the cut of its family, a family of fewer
+that of all, and where all are fewer, ``FALLBACK`` is the cut.
 
 Spans are code points, end exclusive. Defined cases: a null or empty text
-has no spans; a stratum without an acceptable cut adds none; repeated rows
+has no spans; a stratum (or what it is pooled into) without an acceptable
+cut adds none; of spans with one start the fixed patterns come first, and
+random spans may overlap them; repeated rows
 are returned as often as they occur and count as often.
 """
 
@@ -40,9 +46,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # 18 characters or more
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 ASSIGN_MIN = 12
+_SIGN = re.compile(r"[+/_-]")
 _PROSE = re.compile(r"[A-Za-z0-9]+")
 AROUND = 400  # code points of context on either side that a decoy is cut from
 FDR = 0.05
+ENOUGH = 100
+FALLBACK = 2  # bins up to this one: p-values above 0.17
 BINS = 40  # of a quarter of a decade of the p-value each
 BANDS = [16, 20, 24, 32, 48, 64]
 
@@ -111,17 +120,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _inferred(text: str):
+    """(start, run, encoding) of the runs that have an encoding, split where a whole run mixes two alphabets."""
+    for m in _RUN.finditer(text):
+        e = infer(m[0])
+        if e:
+            yield m.start(), m[0], e
+        elif _SIGN.search(m[0]):
+            at = m.start()
+            for part in _SIGN.split(m[0]):
+                e = infer(part) if len(part) >= BANDS[0] else None
+                if e:
+                    yield at, part, e
+                at += len(part) + 1
+
+
 def candidates(text: str):
     """Candidate runs as (start, end, stratum, bin) and their decoys as (stratum, bin)."""
     found, decoys = [], []
-    for m in _RUN.finditer(text):
-        run = m[0]
-        e = infer(run)
-        if e is None:
-            continue
+    for start, run, e in _inferred(text):
         n, s = len(run), stratum(e[1], len(run))
-        found.append((m.start(), m.start() + n, s, level(battery(run, e[4]))))
-        around = text[max(0, m.start() - AROUND):m.start()] + " " + text[m.end():m.end() + AROUND]
+        found.append((start, start + n, s, level(battery(run, e[4]))))
+        around = text[max(0, start - AROUND):start] + " " + text[start + n:start + n + AROUND]
         prose = "".join(c for w in _PROSE.findall(around) if len(w) < BANDS[0] for c in w if c in e[3])
         if len(prose) >= n:
             decoys.append((s, level(battery(prose[:n], e[4]))))
@@ -153,21 +173,40 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def cuts(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
-    """(stratum, cut): candidates in bins up to ``cut`` are reported. One row per stratum at most."""
+    """(stratum, cut): candidates in bins up to ``cut`` are reported. One row per stratum at most; pools are left out."""
+    return pooled_cuts(scanned, fdr).where(~F.endswith("stratum", F.lit("*")) & F.col("cut").isNotNull()).select("stratum", "cut")
+
+
+def pooled_cuts(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
+    """(stratum, n, cut): candidates and cut (null: none) of every stratum, and of the pools "family-*" and "*"."""
     one = scanned.select(F.explode("found").alias("x")).select("x.stratum", "x.bin", F.lit(1).alias("c"), F.lit(0).alias("d"))
     two = scanned.select(F.explode("decoys").alias("x")).select("x.stratum", "x.bin", F.lit(0).alias("c"), F.lit(1).alias("d"))
-    bins = one.unionByName(two).groupBy("stratum", "bin").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    pools = F.array("stratum", F.concat(F.substring_index("stratum", "-", 1), F.lit("-*")), F.lit("*"))
+    both = one.unionByName(two).groupBy("stratum", "bin").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    bins = both.select(F.explode(pools).alias("stratum"), "bin", "c", "d").groupBy("stratum", "bin").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
     run, whole = Window.partitionBy("stratum").orderBy("bin"), Window.partitionBy("stratum")
     # decoys stand for all candidates of the stratum, also those without text around them
     scale = F.sum("c").over(whole) / F.greatest(F.sum("d").over(whole), F.lit(1))
     rate = (1 + scale * F.sum("d").over(run)) / F.greatest(F.sum("c").over(run), F.lit(1))
-    return bins.withColumn("rate", rate).where(F.col("rate") <= fdr).groupBy("stratum").agg(F.max("bin").alias("cut"))
+    passing = F.when(F.col("rate") <= fdr, F.col("bin"))
+    return bins.withColumn("rate", rate).groupBy("stratum").agg(F.sum("c").alias("n"), F.max(passing).alias("cut"))
+
+
+def chosen_cuts(table: dict[str, tuple[int, int | None]]) -> dict[str, int]:
+    """The cut of every stratum from {stratum or pool: (candidates, cut)}; strata without one are left out."""
+    out = {}
+    for s in (k for k in table if not k.endswith("*")):
+        near = [s, f"{s.split('-')[0]}-*", "*"]
+        n, cut = next((table[k] for k in near if table[k][0] >= ENOUGH), (0, FALLBACK))
+        if cut is not None:
+            out[s] = cut
+    return out
 
 
 def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", fdr: float = FDR) -> DataFrame:
     """(key, base, spans): arrays of (start, kind number, end), sorted; ``spans`` includes the battery's."""
     scanned = shared(scan(docs, key, text), "secret-scan")
-    limit = {r["stratum"]: r["cut"] for r in cuts(scanned, fdr).collect()}  # families x length bands at most
+    limit = chosen_cuts({r["stratum"]: (r["n"], r["cut"]) for r in pooled_cuts(scanned, fdr).collect()})  # families x length bands at most
     table = F.create_map(*[F.lit(x) for kv in limit.items() for x in kv]) if limit else F.lit(None).cast("map<string,int>")
     passed = F.filter("found", lambda x: F.coalesce(x["bin"] <= F.try_element_at(table, x["stratum"]), F.lit(False)))
     extra = F.transform(passed, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
