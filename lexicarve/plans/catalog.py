@@ -994,3 +994,22 @@ def flow_embedding_transfer(spark, sf):
                                  key="vec_id", n=100, holdout_start=101, holdout_n=20, head_n=HEAD_N, n_iter=2, seed=SEED,
                                  space=SMALL_FOREST, boosted_space=SMALL_BOOSTED)
     return _transfer_counts(r["transfer"])
+
+
+@register("flow_neural_examples", f"""
+WITH c AS (SELECT d.doc_id, CASE WHEN toxic + quality > 1 THEN 1 ELSE 0 END AS label, len({q.word_tokens(q.preprocess('d.text'))}) AS n_words
+           FROM documents d JOIN labels USING (doc_id)),
+b AS (SELECT *, row_number() OVER (ORDER BY label, doc_id) AS rn, count(*) OVER () AS n
+      FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM c) WHERE k <= {BALANCED_N}),
+s AS (SELECT *, CASE WHEN rn <= floor({SPLIT_FRACTION} * n) THEN 'train' ELSE 'test' END AS slice,
+             ('0x' || substr(md5(doc_id::VARCHAR || '-{SEED}'), 1, 8))::BIGINT AS h FROM b)
+SELECT doc_id, slice, label, least(n_words + 2, 512)::BIGINT AS n_real, 512::BIGINT AS n_padded,
+       ((row_number() OVER (PARTITION BY slice ORDER BY CASE WHEN slice = 'train' THEN h END, doc_id) - 1) // {BATCH})::BIGINT AS batch FROM s
+""")
+def flow_neural_examples(spark, sf):
+    """The reference's third pipeline up to the model: threshold label, balance, normalise, ordered split, encode, shuffle, batch."""
+    r = flows.neural_examples(labelled_corpus(spark, sf), ["toxic", "quality"], n=BALANCED_N, seed=SEED)
+    parts = [r[s].select("doc_id", F.lit(s).alias("slice"), "label", "features", "batch") for s in ("train", "test")]
+    return parts[0].unionByName(parts[1]).select(
+        "doc_id", "slice", "label", F.aggregate("features.attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_real"),
+        F.size("features.input_ids").cast("long").alias("n_padded"), F.col("batch").cast("long").alias("batch"))
