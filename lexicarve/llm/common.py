@@ -32,6 +32,17 @@ def shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``shared`` that no later step reads, and let the driver's JVM drop the shuffle files of ended jobs."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    for spark in {t.sparkSession for t in tables}:
+        spark._jvm.System.gc()
+
+
 def id_mod(key: str, m: int) -> Column:
     """crc32 of the id written as text, modulo ``m``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % m
