@@ -327,3 +327,32 @@ def test_lines_of_rows_without_an_id(spark):
     assert got == sorted((sum(x.strip() != "" for x in (t or "").split("\n")), len(want[i, t]), want[i, t]) for i, t in docs)
     clean = sorted(((r["doc_id"], r["text"]) for r in lm.cleaned(df).collect()), key=str)
     assert clean == sorted(((i, t and "\n".join(x for n, x in enumerate(t.split("\n")) if x == "" or n in want[i, t])) for i, t in docs), key=str)
+
+
+def test_line_sketches_lose_no_pair(spark):
+    rng = random.Random(5)
+    lines = []
+    for n in (16, 60, 300, 3000):
+        for _ in range(12):
+            base = [rng.choice("abcdefgh ") for _ in range(n)]
+            lines.append("".join(base))
+            for changes in (1, max(1, n // 90), max(1, n // 30), max(1, n // 8)):
+                near = list(base)
+                for _ in range(changes):
+                    near[rng.randrange(n)] = "z"
+                lines.append("".join(near))
+    sets = [shingles(x) for x in lines]
+    texts = spark.createDataFrame([(i, x, len(sets[i])) for i, x in enumerate(lines)], "id long, line string, n int")
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a + 1, min(a + 5, len(lines)))]
+    want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= lm.SIMILARITY * len(sets[a] | sets[b])}
+    df = spark.createDataFrame(pairs, "a long, b long")
+    left = {tuple(r) for r in lm.possible(df, lm.sketches(texts)).collect()}
+    assert want and want <= left and len(left) < len(pairs)
+    assert {tuple(r) for r in lm.verified(df, texts).collect()} == want
+
+
+def test_line_columns_with_helper_names(spark):
+    df = spark.createDataFrame([(1, "one line that is here twice\nother", 7, 8, 9), (2, "one line that is here twice", 1, 2, 3)],
+                               "doc_id long, text string, _kept int, _k int, _tag int")
+    got = sorted(tuple(r) for r in lm.cleaned(df).collect())
+    assert got == [(1, "one line that is here twice\nother", 7, 8, 9), (2, "", 1, 2, 3)]
