@@ -76,6 +76,25 @@ LEMMAS = (
     ("fez", "fazer"), ("faz", "fazer"),
 )
 
+# Regular inflections, form and lemma in turn, from which edit scripts are counted (T8b). Words that
+# only look inflected are their own lemma.
+REGULAR_LEMMAS = """
+cats cat dogs dog titles title roles role books book cars car words word things thing days day years year hands hand trees tree
+studies study cities city stories story parties party families family countries country
+boxes box wishes wish classes class churches church watches watch
+walked walk talked talk worked work asked ask played play wanted want looked look
+used use loved love moved move closed close tried try carried carry studied study
+stopped stop planned plan walking walk talking talk working work playing play looking look
+class class glass glass press press grass grass status status virus virus bonus bonus
+king king ring ring spring spring thing thing seed seed need need red red bed bed
+gatos gato livros livro carros carro meninos menino casas casa meninas menina palavras palavra coisas coisa
+cidades cidade paredes parede nomes nome flores flor cores cor senhores senhor valores valor
+animais animal jornais jornal hospitais hospital papeis papel hoteis hotel
+acoes acao nacoes nacao licoes licao razoes razao homens homem imagens imagem viagens viagem
+falando falar andando andar cantando cantar comendo comer vivendo viver falava falar andava andar cantava cantar
+falou falar andou andar cantou cantar falado falar andado andar cantado cantar
+""".split()
+
 # Special token ids of the whole-word encoder.
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_WORD_ID = 4

@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 from ..functions import arrays as ar
 from ..functions import labels as lb
 from ..functions import text as tx
+from ..functions.lexicon import LEMMAS, REGULAR_LEMMAS
+from ..functions.romanize import romanize
 from ..operators import metrics as mt
+from ..operators import morphology as mo
 from ..operators import sampling as sm
 from ..operators import text as ot
 from ..operators import tfidf as tf
@@ -45,6 +48,7 @@ BATCH = 64               # L5
 FOLDS = 5                # W6
 LENGTH_RULES = (1500, 3000)  # rule models: predict 1 when n_chars > threshold
 TOP_K = 10
+LEXICON = [*LEMMAS, *zip(REGULAR_LEMMAS[::2], REGULAR_LEMMAS[1::2])]  # T8b
 
 
 def register(name: str, sql: str | None = None):
@@ -299,6 +303,38 @@ def j4_lexicon_joins(spark, sf):
     return ot.clean_tokens_long(read_table(spark, sf, "documents")).select("doc_id", "pos", "token")
 
 
+def _other_words(spark, sf, table, new):
+    """Tokens without stop words, each by a table of the distinct ones, joined to texts again; a text without any is empty."""
+    docs = read_table(spark, sf, "documents")
+    tok = docs.select("doc_id", tx.remove_stop_words(tx.tokenize(tx.normalise("text"))).alias("tokens"))
+    long = ot.explode_tokens(tok)
+    long = mo.replace_tokens(long, table(long.select("token").distinct()), new)
+    texts = ot.collect_tokens(long).select("doc_id", tx.join_tokens("tokens").alias("t"))
+    return docs.select("doc_id").join(texts, "doc_id", "left").select("doc_id", F.coalesce("t", F.lit("")).alias(f"{new}_text"))
+
+
+@register("t8a_stems", q.token_texts(q.stems, "stem"))
+def t8a_stems(spark, sf):
+    """The documents as stems, each distinct token stemmed once."""
+    return _other_words(spark, sf, mo.stems, "stem")
+
+
+@register("t8b_regular_lemmas", q.token_texts(q.lemma_table, "lemma"))
+def t8b_regular_lemmas(spark, sf):
+    """The documents as lemmas; words outside the lexicon by the edit scripts counted from it."""
+    lexicon = ot.lexicon_table(spark, LEXICON)
+    return _other_words(spark, sf, lambda words: mo.lemma_table(words, lexicon, mo.lemma_rules(lexicon)), "lemma")
+
+
+@register("t2_other_scripts", f"""
+SELECT doc_id, {q.romanize(q.other_scripts('text', 'doc_id'))} AS roman FROM documents
+""")
+def t2_other_scripts(spark, sf):
+    """Texts in Latin, Greek, Cyrillic and Hangul letters by their ASCII spelling."""
+    d = read_table(spark, sf, "documents").select("doc_id", F.expr(q.other_scripts("text", "doc_id")).alias("text"))
+    return d.select("doc_id", romanize("text").alias("roman"))
+
+
 @register("t9_ngram_counts", f"""
 SELECT doc_id, {', '.join(f"greatest(len(tok) - {n - 1}, 0)::BIGINT AS n{n}, CASE WHEN len(tok) >= {n} THEN array_to_string(tok[len(tok) - {n - 1}:len(tok)], ' ') END AS last{n}" for n in range(1, 5))}
 FROM (SELECT doc_id, {q.default_tokenizer('text')} AS tok FROM documents)
