@@ -95,7 +95,7 @@ arias erias irias arás aras erás eras irás avas es ardes erdes irdes ares ere
 ais eis íeis aríeis eríeis iríeis áreis areis éreis ereis íreis ireis ásseis ésseis ísseis áveis ados idos ámos amos íamos
 aríamos eríamos iríamos áramos éramos íramos ávamos emos aremos eremos iremos ássemos êssemos íssemos imos armos ermos irmos
 eu iu ou ira iras""".split()
-REGULAR = """cats cat dogs dog books book cars car words word things thing days day years year hands hand trees tree
+REGULAR = """cats cat dogs dog titles title roles role books book cars car words word things thing days day years year hands hand trees tree
 studies study cities city stories story parties party families family countries country
 boxes box wishes wish classes class churches church watches watch
 walked walk talked talk worked work asked ask played play wanted want looked look
