@@ -13,8 +13,10 @@ The alphabet is the words of the phrases. Any other word ends a fragment
 of the text, since no phrase can run across it; fragments shorter than the
 shortest phrase hold none and are left out of the index.
 
-The benchmark is read in blocks of bounded size (``BLOCK_BYTES`` of text),
-each broadcast on its own; a shard is searched for every block.
+The benchmark is read in blocks of bounded size (``BLOCK_BYTES`` of text).
+Each is broadcast on its own and searched in a pass of its own over the
+documents, so a worker holds one block, whatever the number of blocks. The
+phrases of a block are numbers that overlap in one sequence.
 
 Defined cases: null or empty texts and texts without words have no words,
 no hits and are clean; an empty benchmark has no phrase; null item ids
@@ -31,12 +33,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import by_size, in_arrow
+from .common import by_size, in_arrow, shared
 
 WINDOW = 13
 SHARD_BYTES = 12 << 20  # text per index
-BLOCK_BYTES = 16 << 20  # benchmark text per broadcast
+BLOCK_BYTES = 8 << 20  # benchmark text per broadcast
 SAMPLE = 8  # every so many suffix positions are kept
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # after lower-casing A-Z
 _TABLE = bytes(c if c >= 0x80 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
@@ -46,20 +49,45 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
+class Windows:
+    """Rows of equal length that overlap in one sequence, read like a matrix but held as their starts."""
+
+    def __init__(self, seq: np.ndarray, starts: np.ndarray, length: int):
+        self.seq, self.starts, self.shape = seq, starts, (len(starts), length)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, at) -> np.ndarray:
+        rows, j = at
+        return self.seq[self.starts[rows] + j % self.shape[1]]
+
+
 class Phrases:
-    """Distinct phrases of a benchmark block: per length a matrix of symbols, and the items of each phrase."""
+    """Distinct phrases of a benchmark block, about 20 bytes for each word of it beside the distinct words.
+
+    ``groups`` has per length the phrases, and the numbers of the items of
+    each: ``owners[first[p]:first[p + 1]]``.
+    """
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.symbol: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            seq = [self.symbol.setdefault(w, len(self.symbol) + 1) for w in words_of(text)]
-            for i in range(max(len(seq) - window, 0) + 1 if seq else 0):
-                found.setdefault(tuple(seq[i:i + window]), set()).add(item)
-        self.groups = []  # (matrix [phrases, length], items per phrase)
-        for n in sorted({len(p) for p in found}):
-            own = [p for p in found if len(p) == n]
-            self.groups.append((np.array(own, np.int64), [sorted(found[p]) for p in own]))
+        self.items = sorted({i for i, _ in items})
+        number = {item: n for n, item in enumerate(self.items)}
+        parts = [np.array([self.symbol.setdefault(w, len(self.symbol) + 1) for w in words_of(t)], np.int32) for _, t in items]
+        seq = np.concatenate([*parts, np.zeros(0, np.int32)])
+        size = np.array([len(p) for p in parts], np.int64)
+        begin = np.cumsum(size) - size
+        self.groups = []
+        for n in sorted({min(int(x), window) for x in size if x}):
+            own = np.flatnonzero(np.minimum(size, window) == n)
+            count = size[own] - n + 1
+            starts = np.repeat(begin[own] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+            owner = np.repeat(np.array([number[items[i][0]] for i in own], np.int32), count)
+            _, kept, which = np.unique(np.lib.stride_tricks.sliding_window_view(seq, n)[starts], axis=0, return_index=True, return_inverse=True)
+            pairs = np.unique(which.reshape(-1) * np.int64(len(self.items)) + owner)
+            first = np.searchsorted(pairs, np.arange(len(kept) + 1) * np.int64(len(self.items)))
+            self.groups.append((Windows(seq, starts[kept], n), first, (pairs % len(self.items)).astype(np.int32)))
         self.shortest = self.groups[0][0].shape[1] if self.groups else 0
 
 
@@ -121,7 +149,7 @@ class FMIndex:
         """How often symbol ``c`` occurs before row ``i`` of the transformed sequence."""
         return self._down(c, i) - self._down(c, np.zeros_like(i))
 
-    def search(self, phrases: np.ndarray):
+    def search(self, phrases: np.ndarray | Windows):
         """(phrase number, first row, end row) of the phrases that occur."""
         who = np.arange(len(phrases))
         lo, hi = self.below[phrases[:, -1]], self.below[phrases[:, -1] + 1]
@@ -157,7 +185,7 @@ class FMIndex:
 
 
 def _occurrences(seq: np.ndarray, phrases: Phrases):
-    """(word position, length, items) of every phrase in a shard; ``seq`` has 0 for words outside the alphabet."""
+    """(word position, length, phrase numbers, first, owners) of every phrase in a shard; ``seq`` has 0 for words outside the alphabet."""
     cut = np.flatnonzero(np.diff(np.concatenate(([0], seq != 0, [0]))))
     start, end = cut[::2], cut[1::2]
     long = end - start >= phrases.shortest
@@ -169,45 +197,52 @@ def _occurrences(seq: np.ndarray, phrases: Phrases):
     at = np.arange(int(size.sum())) - np.repeat(head - start, size)  # word position of each indexed symbol
     body = np.where(np.arange(len(at)) == np.repeat(head + size - 1, size), 0, seq[np.minimum(at, len(seq) - 1)])
     index = FMIndex(body, len(phrases.symbol))
-    for matrix, items in phrases.groups:
-        who, lo, hi = index.search(matrix)
+    for windows, first, owners in phrases.groups:
+        who, lo, hi = index.search(windows)
         if len(who):
             n = hi - lo
             rows = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - lo, n)
-            yield at[index.locate(rows)], matrix.shape[1], np.repeat(who, n), items
-
-
-def scan(texts: list[bytes | None], blocks: list[Phrases], spans: bool = False):
-    """One shard: per text (words, hit words, sorted items, removal spans as word ranges)."""
-    words = [words_of(t) for t in texts] if len(texts) == 1 else None
-    size, hits, found = np.zeros(len(texts), np.int64), None, [set() for _ in texts]
-    for block in blocks or [Phrases([])]:
-        get, parts = block.symbol.get, []
-        for i, t in enumerate(texts):
-            w = words[i] if words else words_of(t)
-            parts.append(np.fromiter((get(x, 0) for x in w), np.int64, len(w)))
-            size[i] = len(w)
-        first = np.cumsum(size + 1) - size - 1
-        seq = np.zeros(int((size + 1).sum()) + 1, np.int64)
-        for a, p in zip(first.tolist(), parts):
-            seq[a:a + len(p)] = p
-        hits = np.zeros(len(seq) + 1, np.int64) if hits is None else hits
-        if not block.groups:
-            continue
-        for at, length, who, items in _occurrences(seq, block):
+            yield at[index.locate(rows)], windows.shape[1], np.repeat(who, n), first, owners
+
+
+def scan(texts: list[bytes | None], phrases: Phrases) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+    """One shard: per text (words, merged word ranges of the occurrences, sorted items)."""
+    get, parts, found = phrases.symbol.get, [], [set() for _ in texts]
+    for t in texts:
+        w = words_of(t)
+        parts.append(np.fromiter((get(x, 0) for x in w), np.int64, len(w)))
+    size = np.array([len(p) for p in parts], np.int64)
+    first = np.cumsum(size + 1) - size - 1
+    seq = np.zeros(int((size + 1).sum()) + 1, np.int64)
+    for a, p in zip(first.tolist(), parts):
+        seq[a:a + len(p)] = p
+    hits = np.zeros(len(seq) + 1, np.int64)
+    if phrases.groups:
+        for at, length, who, start, owners in _occurrences(seq, phrases):
             hits += np.bincount(at, minlength=len(hits)) - np.bincount(at + length, minlength=len(hits))
             doc = np.searchsorted(first, at, side="right") - 1
             for d, w in set(zip(doc.tolist(), who.tolist())):
-                found[d].update(items[w])
+                found[d].update(owners[start[w]:start[w + 1]].tolist())
     hit = np.cumsum(hits) > 0
     total = np.concatenate(([0], np.cumsum(hit)))
     out = []
     for i, (a, n) in enumerate(zip(first.tolist(), size.tolist())):
         ranges = []
-        if spans and total[a + n] > total[a]:
+        if total[a + n] > total[a]:
             edge = np.flatnonzero(np.diff(np.concatenate(([0], hit[a:a + n], [0]))))
             ranges = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
-        out.append((n, int(total[a + n] - total[a]), sorted(found[i]), ranges))
+        out.append((n, ranges, [phrases.items[x] for x in sorted(found[i])]))
+    return out
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 
@@ -217,17 +252,56 @@ def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(at[a][0], at[b - 1][1]) for a, b in ranges]
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> list:
-    """Broadcasts of the phrases, each of at most about BLOCK_BYTES of benchmark text (larger only for a larger item)."""
-    spark = benchmark.sparkSession
+def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[DataFrame]:
+    """Parts (i, t) of the benchmark, each of at most about BLOCK_BYTES of text (larger only for a larger item)."""
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(text).cast("binary").alias("t"))
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    n = max(1, -(-2 * total // BLOCK_BYTES) if total > BLOCK_BYTES else 1)
-    out = []
-    for k in range(n):
-        own = items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)
-        out.append(spark.sparkContext.broadcast(Phrases([(r["i"], bytes(r["t"]) if r["t"] is not None else None) for r in own.collect()], window)))
-    return out
+    n = -(-2 * total // BLOCK_BYTES) if total > BLOCK_BYTES else 1
+    return [items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k) for k in range(n)]
+
+
+def _scanned(rows: DataFrame, at: int, blocks: list[DataFrame], window: int, with_spans: bool = False) -> DataFrame:
+    """(row, n_words, items, hits[, spans]) of a table of one struct ``row`` whose field ``at`` is the text.
+
+    One block is in memory at a time: each has its own pass over the rows,
+    and what the passes found so far is kept beside them in the shared folder.
+    """
+    span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    fields = [rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", span)]
+    spark, state = rows.sparkSession, rows
+
+    def listed(ranges):
+        return [{"start": a, "end": b} for a, b in ranges]
+
+    for k, block in enumerate(blocks):
+        own = [(r["i"], bytes(r["t"]) if r["t"] is not None else None) for r in block.collect()]
+        sent, last = spark.sparkContext.broadcast(Phrases(own, window)), k == len(blocks) - 1
+
+        def run(batches, sent=sent, begun=k > 0, spelled=with_spans and last):
+            phrases = sent.value
+            for b in batches:
+                texts = b.column(0).flatten()[at].cast(pa.binary()).to_pylist()
+                before = [b.column(i).to_pylist() for i in (2, 3)] if begun else None
+                for r in by_size([len(t or b"") for t in texts], SHARD_BYTES):
+                    found = scan([texts[i] for i in r], phrases)
+                    if begun:
+                        found = [(n, merged(ranges + [(x["start"], x["end"]) for x in before[1][i]]), sorted({*items, *before[0][i]}))
+                                 for i, (n, ranges, items) in zip(r, found)]
+                    cols = [b.column(0).slice(r.start, len(r)), pa.array([x[0] for x in found], pa.int64()),
+                            pa.array([x[2] for x in found], pa.list_(pa.string())), pa.array([listed(x[1]) for x in found], pair)]
+                    if spelled:
+                        cols.append(pa.array([listed(char_spans(texts[i].decode(), x[1])) if x[1] else [] for i, x in zip(r, found)], pair))
+                    yield pa.RecordBatch.from_arrays(cols, names=["row", "n_words", "items", "hits", "spans"][:len(cols)])
+
+        state = in_arrow(state, run, T.StructType(fields + [T.StructField("spans", span)] * (with_spans and last)))
+        if not last:
+            state = shared(state, "decontam-round")
+            sent.destroy()
+    return state
+
+
+_N_HIT = "aggregate(hits, 0L, (n, x) -> n + x.end - x.start)"
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -237,27 +311,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     ``items`` are the ids of the items with occurring phrases, sorted as
     strings; ``spans`` the merged removal spans in code points.
     """
-    blocks = benchmark_blocks(benchmark, item, benchmark_text, window)
-    d = docs.select(F.col(key).alias("k"), F.col(text).cast("binary").alias("t"))
-    schema = f"k {d.schema['k'].dataType.simpleString()}, n_words long, n_hit long, items array<string>"
-    if with_spans:
-        schema += ", spans array<struct<start:int,end:int>>"
-    pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def run(batches):
-        phrases = [b.value for b in blocks]
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for r in by_size([len(t or b"") for t in texts], SHARD_BYTES):
-                found = scan([texts[i] for i in r], phrases, with_spans)
-                cols = [b.column(0).slice(r.start, len(r)), pa.array([x[0] for x in found], pa.int64()),
-                        pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.list_(pa.string()))]
-                if with_spans:
-                    cols.append(pa.array([[{"start": s, "end": e} for s, e in char_spans(texts[i].decode(), x[3])] if x[3] else []
-                                          for i, x in zip(r, found)], pair))
-                yield pa.RecordBatch.from_arrays(cols, names=["k", "n_words", "n_hit", "items", "spans"][:len(cols)])
-
-    return in_arrow(d, run, schema).withColumnRenamed("k", key)
+    rows = docs.select(F.struct(F.col(key).alias("k"), F.col(text).cast("binary").alias("t")).alias("row"))
+    out = _scanned(rows, 1, benchmark_blocks(benchmark, item, benchmark_text), window, with_spans)
+    return out.select(F.col("row.k").alias(key), "n_words", F.expr(_N_HIT).alias("n_hit"), "items", *["spans"] * with_spans)
 
 
 def is_contaminated():
@@ -265,21 +321,12 @@ def is_contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+          benchmark_text: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, unchanged, with all their columns. No shuffle."""
-    blocks = benchmark_blocks(benchmark)
-    at, names = docs.columns.index(text), docs.columns
-
-    def run(batches):
-        phrases = [b.value for b in blocks]
-        for b in batches:
-            texts = b.column(at).cast(pa.binary()).to_pylist()
-            keep = []
-            for r in by_size([len(t or b"") for t in texts], SHARD_BYTES):
-                keep += [not (h > 0 and 20 * h >= n) for n, h, _, _ in scan([texts[i] for i in r], phrases)]
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    return in_arrow(docs, run, docs.schema).select(*names)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    out = _scanned(rows, docs.columns.index(text), benchmark_blocks(benchmark, item, benchmark_text), window)
+    return out.withColumn("n_hit", F.expr(_N_HIT)).where(~is_contaminated()).select("row.*")
 
 
 def items_digest(items: list[str]) -> str:

@@ -82,6 +82,39 @@ def test_contamination(spark, monkeypatch, block_bytes):
     assert [tuple(s) for s in spans[None]] == [(0, len("SHORT item, three"))]
 
 
+def test_phrases_are_small_and_distinct():
+    rnd = random.Random(3)
+    words = [f"w{i}".encode() for i in range(3000)]
+    items = [(str(i), b" ".join(rnd.choice(words) for _ in range(400))) for i in range(500)]
+    items += [("7", items[7][1]), ("copy", items[7][1]), ("none", None), ("short", b"w1 w2"), ("", b"!!")]
+    held = fm.Phrases(items)
+    want: dict = {}
+    for item, text in items:
+        w = fm.words_of(text)
+        for i in range(max(len(w) - 13, 0) + 1 if w else 0):
+            want.setdefault(tuple(held.symbol[x] for x in w[i:i + 13]), set()).add(item)
+    got = {}
+    for windows, first, owners in held.groups:
+        for p in range(len(windows)):
+            row = tuple(int(windows[p, j]) for j in range(windows.shape[1]))
+            got[row] = {held.items[o] for o in owners[first[p]:first[p + 1]].tolist()}
+    assert got == want
+    words_held = sum(len(fm.words_of(t)) for _, t in items)
+    arrays = held.groups[0][0].seq.nbytes + sum(w.starts.nbytes + f.nbytes + o.nbytes for w, f, o in held.groups)
+    assert arrays <= 26 * words_held
+
+
+def test_ranges_merge():
+    assert fm.merged([(5, 9), (0, 2), (8, 12), (2, 3), (20, 21)]) == [(0, 3), (5, 12), (20, 21)]
+
+
+def test_clean_with_other_benchmark_columns(spark):
+    d = spark.createDataFrame([(1, "a b c", 5, "x"), (2, "d e f", 6, None)], "doc_id long, text string, hits int, row string")
+    b = spark.createDataFrame([(9, "b c")], "name long, body string")
+    kept = fm.clean(d, b, item="name", benchmark_text="body")
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [(2, "d e f", 6, None)]
+
+
 def test_contamination_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
