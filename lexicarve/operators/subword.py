@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as ar
 from ..session import shared
 from .positions import stored_index
-from .text import explode_tokens
+from .text import dealt_by_key, explode_tokens
 
 END = "\ue000"  # private-use character in place of a file's own end-of-word mark
 MAX_CHARS = 100  # longer words are unknown as a whole
@@ -69,7 +69,7 @@ def encode_subwords(tokens_df: DataFrame, vocab: DataFrame, begin: int, end: int
     """[begin] pieces of word 1 ... pieces of word n [end]; a document without words gives [begin, end]."""
     words = tokens_df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull()).distinct()
     pieces = shared(cut_words(shared(words, "subword-words"), vocab, unknown), "subword-pieces")
-    long = explode_tokens(tokens_df.select(key, tokens_col), key, tokens_col)
+    long = explode_tokens(dealt_by_key(tokens_df.select(key, tokens_col), key), key, tokens_col)
     ided = long.join(pieces, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
     body = F.coalesce(F.flatten(F.transform("p", lambda x: x["ids"])), F.array().cast("array<bigint>"))
     one = lambda v: F.array(F.lit(v).cast("long"))
