@@ -67,3 +67,40 @@ def test_sample_bounds(spark):
     assert tc.train(docs, labels, longest=10).net is None
     again = tc.train(docs.repartition(7), labels, sample_bytes=6000)
     assert np.array_equal(again.net.e, few.net.e)
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """A class of over 3000 rows and texts of over 20,000 words were cut."""
+    monkeypatch.setattr(tc, "EPOCHS", 1)
+    counted, first = [], tc.Net.start_from
+    monkeypatch.setattr(tc.Net, "start_from", lambda net, seen, n: (counted.append(np.array(n).tolist()), first(net, seen, n))[1])
+    docs = spark.range(7000).selectExpr("id AS doc_id", "concat(if(id % 2 = 1, 'bad', 'good'), ' word') AS text", "'en' AS lang")
+    labels = spark.range(7000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    held = labels.where("pmod(xxhash64(doc_id, 'calibrate'), 5) = 0")
+    cells, judge = [], tc.best_threshold
+    monkeypatch.setattr(tc, "best_threshold", lambda z, y, w: (cells.append(float(np.sum(w))), judge(z, y, w))[1])
+    tc.train(docs, labels)
+    n_held = held.count()
+    assert sum(counted[0]) == 7000 - n_held and cells[0] == n_held
+    long = spark.createDataFrame([(i, ("bad " if i % 2 else "good ") * 21_000, "en") for i in range(20)], "doc_id long, text string, lang string")
+    assert tc.train(long, labels).net is not None
+
+
+def test_shards_do_not_change_what_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(tc, "SHARD_ROWS", 30)
+    docs = spark.createDataFrame([(i, ("bad" if i % 3 else "good") + f" w{i % 7}", "en") for i in range(400)] * 2, "doc_id long, text string, lang string")
+    y = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 400, 2)], "k long, y int")
+    rows = tc.hashed_rows(docs, y, "doc_id", "text", "lang")
+    assert rows.count() == 400 and rows.select("shard").distinct().count() == 14
+    word = int(tc.hashed_words(["bad"])[0][0, 0])
+    n = tc.word_counts(rows).where("g = 'en'").where(f"id = {word}").first()["n"]
+    assert n == 2 * sum(1 for i in range(0, 400, 2) if i % 3)
+
+
+def test_long_text_in_pieces_has_the_same_peaks(monkeypatch):
+    rnd, net = random.Random(9), small_net(10)
+    rows, start, words = tc.hashed_words([" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 7) for _ in range(301))])
+    where, value = net.peaks(rows, start, words)
+    monkeypatch.setattr(tc, "BATCH_WORDS", 50)
+    where2, value2 = net.peaks(rows, start, words)
+    assert np.allclose(value, value2, atol=1e-4) and all(np.array_equal(a, b) for a, b in zip(where, where2))
