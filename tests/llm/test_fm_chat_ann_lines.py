@@ -389,3 +389,28 @@ def test_line_columns_with_helper_names(spark):
                                "doc_id long, text string, _kept int, _k int, _tag int")
     got = sorted(tuple(r) for r in lm.cleaned(df).collect())
     assert got == [(1, "one line that is here twice\nother", 7, 8, 9), (2, "", 1, 2, 3)]
+
+
+def test_crowded_bucket_makes_only_pairs_that_can_link(spark):
+    """Lines with a common half and unlike rests share all buckets, but only near copies are paired, each pair once."""
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    half = word(120)
+    lines = [half + word(120) for _ in range(60)]
+    lines += [x[:-6] + "".join(rnd.choice("0123456789") for _ in range(6)) for x in lines[:5]]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    rows = spark.createDataFrame([(k, i, i, True) for k in (5, 6, 7) for i in range(len(lines))], "key long, id long, c long, apart boolean")
+    got = [tuple(r)[:2] for r in lm.apart_pairs(rows, lm.sketches(texts)).collect()]
+    sets = [shingles(x) for x in lines]
+    want = {(a, b) for b in range(len(lines)) for a in range(b) if len(sets[a] & sets[b]) >= lm.SIMILARITY * len(sets[a] | sets[b])}
+    assert len(want) == 5 and want <= set(got) and len(got) == len(set(got)) <= 10
+
+
+def test_near_copies_without_a_common_leader(spark):
+    """Chains of near copies, of which the ends share no link with the middle's leader, are one component."""
+    rnd = random.Random(9)
+    base = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400))
+    docs = [(i, "x" * 9 + base[i * 12:i * 12 + 260]) for i in range(10)]
+    docs += [(100 + i, "y" * 9 + "".join(rnd.choice("mnopq") for _ in range(200))) for i in range(5)]
+    got = {r["doc_id"]: r["kept"] for r in lm.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == plain_lines(docs)
