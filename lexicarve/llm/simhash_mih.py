@@ -102,7 +102,8 @@ def fingerprint_links(fps: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFra
                                  lambda i: F.col("v").bitwiseXOR(F.call_function("shiftleft", one, i))))
     ball = F.when(F.col("seg") == 0, flips).otherwise(F.array("v"))
     probes = table.select("seg", F.explode(ball).alias("v"), F.col("fp").alias("q"))
-    exact = (small.join(probes, ["seg", "v"]).where((F.col("fp") != F.col("q")) & _near("fp", "q", MAX_BITS))
+    # Spark takes the probes for no larger than their table, though they are 34 times its rows: neither side is broadcast
+    exact = (small.hint("merge").join(probes.hint("merge"), ["seg", "v"]).where((F.col("fp") != F.col("q")) & _near("fp", "q", MAX_BITS))
                   .select(F.col("fp").alias("a"), F.col("q").alias("b")))
     crowd = table.join(large, ["seg", "v"], "left_semi").select("fp").distinct()
     points = F.concat(F.array(F.col("fp")),

@@ -51,6 +51,26 @@ def plain_simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_probes_are_not_broadcast(spark):
+    """Spark takes exploded rows for as few as there were before; 34 probes for each fingerprint must not go through the driver."""
+    fps = spark.range(3000).selectExpr("xxhash64(id) as fp")
+    plan = simhash_mih.fingerprint_links(fps)._jdf.queryExecution().sparkPlan()
+    inside = []
+
+    def visit(node, sent):
+        name = node.nodeName()
+        if sent and name == "Generate":
+            inside.append(name)
+        children = node.children()
+        for i in range(children.size()):
+            # before exchanges are planned, a join names the side that it broadcasts
+            side = node.buildSide().toString() if name == "BroadcastHashJoin" else ""
+            visit(children.apply(i), sent or side == ("BuildLeft", "BuildRight")[i] if side else sent)
+
+    visit(plan, False)
+    assert not inside
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(1)
     links = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)] + [(500, 500 + i) for i in range(1, 50)]
