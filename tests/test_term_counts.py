@@ -75,3 +75,29 @@ def test_stored_index_moves_a_row_once(spark):
     d = spark.createDataFrame([("b", 1, 2), ("a", 2, 1), (None, 3, 0)], "row string, held int, part int")
     got = stored_index(d, ["row"], name="at").orderBy("at").collect()
     assert [tuple(r) for r in got] == [(None, 3, 0, 0), ("a", 2, 1, 1), ("b", 1, 2, 2)]
+
+
+def exchanges(df):
+    return str(df._jdf.queryExecution().executedPlan().toString()).split("Initial Plan")[-1].count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("n_min, n_max", [(1, 4), (1, 1), (2, 3)])
+def test_counts_and_frequencies_of_one_corpus_meet_where_windows_arrive(docs, n_min, n_max):
+    """Texts, windows and weights are shuffled once each; no n-gram is joined. The rows are those of counts joined with frequencies."""
+    counts = tf.corpus_counts(docs, n_min=n_min, n_max=n_max)
+    two = tf.term_frequency(docs, n_min=n_min, n_max=n_max)
+    want = sorted(map(tuple, two.join(tf.document_frequency(two), "term").select("doc_id", "term", "tf", "df").collect()), key=repr)
+    assert sorted(map(tuple, counts.select("doc_id", "term", "tf", "df").collect()), key=repr) == want
+    if n_min == 2:
+        assert exchanges(tf.weighted(counts, tf.F.lit(9.0))) == 3 and "Join" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distinct_terms_are_not_shuffled_again(docs, monkeypatch):
+    seen = []
+    one = tf.terms(docs)
+    monkeypatch.setattr(tf, "shared", lambda df, name: seen.append(exchanges(df)) or df)
+    monkeypatch.setattr(tf, "stored_index", lambda df, *a, **k: df)
+    monkeypatch.setattr(tf, "discard", lambda df: None)
+    assert sorted(r["term"] for r in tf.vocabulary(one, distinct=True).collect()) == sorted({r["term"] for r in one.collect()})
+    tf.vocabulary(one)
+    assert seen[0] < seen[1]
