@@ -2,11 +2,9 @@
 
 Words are cut by greedy longest match from the left: the longest piece of
 the vocabulary that starts the rest of the word is taken, again and again.
-The cut is worked out once per distinct word, as a join of all its
-substrings (at most as long as the longest piece) with the vocabulary, and
-a fold over the longest hit of every position; documents get the ids by a
-join on the word, so a word in every document is cut once and its join side
-can be split by AQE. Nothing is collected and no Python runs.
+Texts are not moved: a task has the vocabulary, which is given and small,
+as a dictionary, and cuts each distinct word of a batch once, in Python, as
+Spark has no built-in for a longest match.
 
 The vocabulary is a table (piece, id). Pieces that end a word carry
 ``END`` as their last character, as the words do while they are cut.
@@ -15,13 +13,14 @@ Vocabularies are given, never trained.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
 from ..session import shared
 from .positions import stored_index
-from .text import dealt_by_key, explode_tokens
 
 END = "\ue000"  # private-use character in place of a file's own end-of-word mark
 MAX_CHARS = 100  # longer words are unknown as a whole
@@ -37,43 +36,90 @@ def vocabulary_file(spark: SparkSession, path: str, end_mark: str = "</w>") -> D
                     F.col("id").cast("long").alias("id"))
 
 
+def _cutter(pieces: dict[str, int], unknown: int, max_chars: int):
+    """A function that gives the piece ids of a word."""
+    longest = max(map(len, pieces), default=0)
+
+    def cut(word: str | None) -> list[int]:
+        if not word:
+            return []
+        t, at, ids = word + END, 0, []
+        while at < len(t) and len(word) <= max_chars:
+            hit = next((n for n in range(min(longest, len(t) - at), 0, -1) if t[at:at + n] in pieces), None)
+            if hit is None:
+                break
+            ids.append(pieces[t[at:at + hit]])
+            at += hit
+        return ids if at == len(t) else [unknown]
+
+    return cut
+
+
+def _sent(vocab: DataFrame):
+    """The vocabulary, which is given and as small as a model's table of pieces, for all tasks."""
+    rows = vocab.groupBy("piece").agg(F.max("id").alias("id")).where(F.col("piece").isNotNull()).toArrow()
+    return vocab.sparkSession.sparkContext.broadcast(dict(zip(rows.column("piece").to_pylist(), rows.column("id").to_pylist())))
+
+
+def cut_lists(df: DataFrame, key: str, tokens_col: str, sent, unknown: int, max_chars: int = MAX_CHARS, flat: bool = True) -> DataFrame:
+    """(key, ids): the piece ids of a list of words, in their order; without ``flat`` a list for every word. No row is moved.
+
+    In a batch each distinct word is cut once.
+    """
+    d = df.select(F.col(key).alias("k"), F.col(tokens_col).alias("t"))
+
+    def run(batches):
+        cut = _cutter(sent.value, unknown, max_chars)
+        for b in batches:
+            col = b.column(1)
+            words = col.flatten().dictionary_encode()
+            ids = [np.array(cut(w), np.int64) for w in words.dictionary.to_pylist()] + [np.zeros(0, np.int64)]  # the last is that of a null
+            which = words.indices.fill_null(len(ids) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.array([len(x) for x in ids])
+            first, length = (np.cumsum(size) - size)[which], size[which]
+            ends = np.concatenate(([0], np.cumsum(length)))
+            value = np.concatenate(ids)[np.repeat(first - ends[:-1], length) + np.arange(ends[-1])]
+            words_to = np.concatenate(([0], np.cumsum(col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+            if flat:
+                out = pa.ListArray.from_arrays(pa.array(ends[words_to], pa.int32()), pa.array(value))
+            else:
+                out = pa.ListArray.from_arrays(pa.array(words_to, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value)))
+            yield pa.RecordBatch.from_arrays([b.column(0), out], names=["k", "ids"])
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    kind = d.schema["k"].dataType.simpleString()
+    return d.mapInArrow(run, f"k {kind}, ids {'array<bigint>' if flat else 'array<array<bigint>>'}").withColumnRenamed("k", key)
+
+
 def cut_words(words: DataFrame, vocab: DataFrame, unknown: int, token: str = "token", max_chars: int = MAX_CHARS) -> DataFrame:
     """(token, ids): the piece ids of each distinct word; ``[unknown]`` where no cut reaches the word's end.
 
     A null or empty word has no ids.
     """
-    longest = vocab.select(F.max(F.length("piece"))).scalar()
     w = words.select(F.col(token).alias("token")).where(F.col("token").isNotNull() & (F.col("token") != "")).distinct()
-    spelled = w.where(F.length("token") <= max_chars).select("token", F.concat("token", F.lit(END)).alias("t")).withColumn("longest", longest)
-    starts = spelled.select("token", "t", "longest", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("at"))
-    most = F.least(F.col("longest"), F.length("t") - F.col("at") + 1)
-    parts = starts.select("token", "at", "t", F.explode(F.sequence(F.lit(1), most)).alias("n")) \
-                  .select("token", "at", "n", F.substring("t", F.col("at"), F.col("n")).alias("piece"))
-    best = parts.join(vocab, "piece").groupBy("token", "at").agg(F.max(F.struct("n", "id")).alias("hit"))
-    hits = best.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("at", "hit"))).alias("hits"))
-
-    def step(acc: Column, at: Column) -> Column:
-        hit = F.try_element_at(F.col("hits"), at)
-        taken = F.struct((at + hit["n"]).alias("at"), F.concat(acc["ids"], F.array(hit["id"])).alias("ids"))
-        return F.when((acc["at"] != at) | hit.isNull(), acc).otherwise(taken)
-
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<bigint>").alias("ids"))
-    end = F.length("token") + 2  # one past the end mark
-    cut = F.aggregate(F.sequence(F.lit(1), F.length("token") + 1), start, step)
-    done = hits.select("token", cut.alias("cut")).select("token", F.when(F.col("cut.at") == end, F.col("cut.ids")).alias("ids"))
-    return w.join(done, "token", "left").select("token", F.coalesce("ids", F.array(F.lit(unknown).cast("long"))).alias("ids"))
+    return cut_lists(w.withColumn("one", F.array("token")), "token", "one", _sent(vocab), unknown, max_chars)
 
 
 def encode_subwords(tokens_df: DataFrame, vocab: DataFrame, begin: int, end: int, unknown: int, key: str = "doc_id",
                     tokens_col: str = "tokens", out: str = "input_ids") -> DataFrame:
-    """[begin] pieces of word 1 ... pieces of word n [end]; a document without words gives [begin, end]."""
-    words = tokens_df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull()).distinct()
-    pieces = shared(cut_words(shared(words, "subword-words"), vocab, unknown), "subword-pieces")
-    long = explode_tokens(dealt_by_key(tokens_df.select(key, tokens_col), key), key, tokens_col)
-    ided = long.join(pieces, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
-    body = F.coalesce(F.flatten(F.transform("p", lambda x: x["ids"])), F.array().cast("array<bigint>"))
+    """[begin] pieces of word 1 ... pieces of word n [end]; a document without words, or without a key, gives [begin, end].
+
+    Rows that share a key are one document, whose words are in the order of
+    their positions and ids; only such rows are moved.
+    """
+    sent = _sent(vocab)
+    repeated = shared(tokens_df.select(key).where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key), "subword-repeated")
     one = lambda v: F.array(F.lit(v).cast("long"))
-    return tokens_df.select(key).join(ided, key, "left").select(key, F.concat(one(begin), body, one(end)).alias(out))
+    framed = lambda ids: F.concat(one(begin), ids, one(end)).alias(out)
+    words = F.when(F.col(key).isNotNull(), F.col(tokens_col)).alias(tokens_col)
+    if repeated.isEmpty():
+        return cut_lists(tokens_df.select(key, words), key, tokens_col, sent, unknown).select(key, framed(F.col("ids")))
+    alone = cut_lists(tokens_df.join(repeated, key, "left_anti").select(key, words), key, tokens_col, sent, unknown)
+    many = tokens_df.join(repeated, key, "left_semi")
+    each = cut_lists(many, key, tokens_col, sent, unknown, flat=False).select(key, F.posexplode("ids").alias("pos", "ids"))
+    body = each.groupBy(key).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids"))
+    merged = many.select(key).join(body, key, "left").select(key, F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids"))
+    return alone.unionByName(merged).select(key, framed(F.col("ids")))
 
 
 def length_batches(df: DataFrame, key: str = "doc_id", ids: str = "input_ids", batch: int = 64, out: str = "padded") -> DataFrame:

@@ -83,3 +83,17 @@ def test_score_names(spark):
     from lexicarve.operators import models as md
     with pytest.raises(ValueError):
         md.score_trial(None, None, "id", "auc")
+
+
+def test_subwords_move_no_text(spark):
+    """Tokens stay where their texts are; rows that share a key are merged as before, a null key has no words."""
+    vocab = spark.createDataFrame([("a", 3), ("b", 4), ("a" + sw.END, 5), ("ab" + sw.END, 6), ("b" + sw.END, 7)], "piece string, id long")
+    rows = [(1, ["ab", None, "a", "", "x"]), (2, ["ab"] * 3), (3, None), (4, [])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    enc = sw.encode_subwords(df, vocab, 0, 1, 9)
+    assert "Exchange" not in enc._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"]: r["input_ids"] for r in enc.collect()} == {1: [0, 6, 5, 9, 1], 2: [0, 6, 6, 6, 1], 3: [0, 1], 4: [0, 1]}
+    more = spark.createDataFrame(rows + [(2, ["b", "aab"]), (None, ["ab"])], "doc_id long, tokens array<string>")
+    got = sorted(((r["doc_id"], r["input_ids"]) for r in sw.encode_subwords(more, vocab, 0, 1, 9).collect()), key=repr)
+    two = (2, [0, 6, 7, 3, 6, 6, 6, 1])
+    assert got == sorted([(1, [0, 6, 5, 9, 1]), two, two, (3, [0, 1]), (4, [0, 1]), (None, [0, 1])], key=repr)
