@@ -71,3 +71,22 @@ def test_no_rows(spark):
     df = spark.createDataFrame([(1, [1.0], None)], "id long, v array<double>, label int")
     model, log = nn.DenseHead(hidden=2, epochs=2).fit(df, "id", "v")
     assert log.count() == 0 and model.transform(df, "id", "v").count() == 1
+
+
+def test_small_steps_share_a_job(spark, monkeypatch):
+    """One job takes many steps; steps taken in tasks and steps as jobs of their own give the same weights."""
+    x, y = rows(200)
+    df = spark.createDataFrame([(i, x[i].tolist(), int(y[i])) for i in range(200)], "id long, v array<double>, label int")
+    head, calls = nn.DenseHead(hidden=4, epochs=2, batch=10, seed=3), []
+    old = nn.DenseHead.steps
+    monkeypatch.setattr(nn.DenseHead, "steps", lambda self, *a: calls.append(1) or old(self, *a))
+    one, log = head.fit(df, "id", "v")
+    assert len(calls) == 2 and [r["n_rows"] for r in log.collect()] == [200, 200]  # 20 steps an epoch
+    monkeypatch.setattr(nn, "IN_TASK", 3 * 10 * 5 * 8)
+    few, _ = head.fit(df, "id", "v")
+    assert len(calls) == 2 + 2 * 7
+    monkeypatch.setattr(nn, "IN_TASK", 1)
+    far, _ = nn.DenseHead(hidden=4, epochs=2, batch=100, seed=3).fit(df, "id", "v")
+    monkeypatch.setattr(nn, "IN_TASK", 1 << 20)
+    near, _ = nn.DenseHead(hidden=4, epochs=2, batch=100, seed=3).fit(df, "id", "v")
+    assert np.allclose(one.weights.flat, few.weights.flat) and np.allclose(far.weights.flat, near.weights.flat)
